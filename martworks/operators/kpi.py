@@ -69,19 +69,19 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     values = df.select(quoted(column).cast("double").alias("v")).where(F.col("v").isNotNull())
     bounds = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     spread = F.when(F.col("lo") == F.col("hi"), F.lit(0.5)).otherwise(F.lit(0.0))
-    ends = bounds.select(F.struct((F.col("lo") - spread).alias("lo"), (F.col("hi") + spread).alias("hi"))).scalar()
-    low, high = ends.getField("lo"), ends.getField("hi")
-    value, at = F.col("v"), F.col("at")
+    ends = bounds.select(F.struct((F.col("lo") - spread).alias("lo"), (F.col("hi") + spread).alias("hi")))
+    placed = values.withColumn("ends", ends.scalar())
+    low, high, value, at = F.col("ends.lo"), F.col("ends.hi"), F.col("v"), F.col("at")
 
     def edge(k: Column) -> Column:
         return F.when(k == bins, high).otherwise(low + k * ((high - low) / bins))
 
     # Rounding can put a value one bin off its edges, so the guess is compared with both edges.
     guess = F.least(F.floor((value - low) / (high - low) * bins), F.lit(bins - 1)).cast("int")
-    placed = F.when(value < edge(at), at - 1).when((value >= edge(at + 1)) & (at != bins - 1), at + 1).otherwise(at)
-    counts = values.withColumn("at", guess).groupBy((placed + 1).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    every = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
-    return every.join(counts, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"))
+    exact = F.when(value < edge(at), at - 1).when((value >= edge(at + 1)) & (at != bins - 1), at + 1).otherwise(at)
+    hits = placed.withColumn("at", guess).select((exact + 1).alias("bin"), F.lit(1).alias("n"))
+    every = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"), F.lit(0).alias("n"))
+    return hits.union(every).groupBy("bin").agg(F.sum("n").alias("n"))
 
 
 def head(df: DataFrame, order: Sequence[str], n: int = 3) -> DataFrame:

@@ -192,7 +192,7 @@ def violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         elif isinstance(rule, ReferenceRule):
             frames.append(reference_violations(df, rule).withColumn("test_name", F.lit(rule.name)))
     if not frames:
-        return df.limit(0).withColumn("test_name", F.lit(None).cast("string"))
+        return df.where(F.lit(False)).withColumn("test_name", F.lit(None).cast("string"))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
@@ -247,18 +247,13 @@ def status_counts(reports: DataFrame) -> DataFrame:
     return reports.groupBy("status").agg(F.count(F.lit(1)).alias("tests"))
 
 
-def write_report(reports: DataFrame, path: str) -> DataFrame:
-    """Store the report by layer, resource and day, and return the stored rows."""
-    keys = ["layer", "resource", "ds"]
-    (
-        reports.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys)
-        .parquet(path)
+def write_report(reports: DataFrame, path: str, layer: str, resource: str, ds: str | dt.date) -> DataFrame:
+    """Store the report of one layer, resource and day, replacing an earlier one; returns the stored rows."""
+    target = f"{path}/layer={layer}/resource={resource}/ds={parse_ds(ds)}"
+    reports.drop("layer", "resource", "ds").repartition(1).write.mode("overwrite").parquet(target)
+    return reports.sparkSession.read.schema(reports.schema).option("basePath", path).parquet(target).select(
+        *reports.columns
     )
-    stored = reports.sparkSession.read.schema(reports.schema).parquet(path)
-    written = reports.select(*keys).distinct()
-    return stored.join(written, keys, "left_semi")
 
 
 def quarantine_rows(
@@ -276,17 +271,21 @@ def quarantine_rows(
 def quarantine(
     df: DataFrame, rules: Sequence[Rule], path: str, layer: str, resource: str, ds: str | dt.date
 ) -> int:
-    """Write the violations of each test to ``<path>/<layer>/<resource>/ds=…/test_name=…``; how many tests had any."""
-    rows = quarantine_rows(df, rules, layer, resource, ds).drop("layer", "resource")
-    target = f"{path}/{layer}/{resource}"
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ds", "test_name")
-        .parquet(target)
-    )
-    stored = df.sparkSession.read.schema(rows.schema).parquet(target)
-    return stored.where(F.col("ds") == F.lit(parse_ds(ds))).select("test_name").distinct().count()
+    """Write violations to ``<path>/<layer>/<resource>/ds=<ds>/test_name=…``; returns the number of tests written.
+
+    Give the rules that failed: :func:`failed_rules` takes them from a report. What an earlier run of the day left is
+    replaced, also when no rule fails any more.
+    """
+    target = f"{path}/{layer}/{resource}/ds={parse_ds(ds)}"
+    rows = quarantine_rows(df, rules, layer, resource, ds).drop("layer", "resource", "ds")
+    rows.write.mode("overwrite").partitionBy("test_name").parquet(target)
+    return len(rules)
+
+
+def failed_rules(reports: DataFrame, rules: Sequence[Rule]) -> list[Rule]:
+    """The rules a report shows as failed; the report has one row per rule."""
+    names = {row["test_name"] for row in reports.where(F.col("status") == FAIL).select("test_name").collect()}
+    return [rule for rule in rules if rule.name in names]
 
 
 def enforce(reports: DataFrame) -> None:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martworks.functions.scalars import batch_day
 from martworks.operators.project import apply_config, stamp_ds
-from martworks.operators.quality import Rule, basic_checks, enforce, quarantine, report, write_report
+from martworks.operators.quality import Rule, basic_checks, enforce, failed_rules, quarantine, report, write_report
 from martworks.operators.reshape import explode_items
 from martworks.plans import marts, rules
 from martworks.plans.resources import CONFIGS, PRIMARY_KEYS, RAW_SCHEMAS, RESOURCES
@@ -58,9 +58,11 @@ def transform(lake: Lake, resource: str, ds: str | dt.date | None = None) -> Non
 
 
 def check(lake: Lake, layer: str, resource: str, ds: dt.date, df: DataFrame, rule_list: list[Rule]) -> DataFrame:
-    """Store violations and report of one frame, and return the stored report."""
-    quarantine(df, rule_list, f"{lake.root}/quarantine", layer, resource, ds)
-    return write_report(report(df, rule_list, layer, resource, ds), f"{lake.root}/dq_report")
+    """Store the report of one frame and the violations of its failed rules; returns the stored report."""
+    found = report(df, rule_list, layer, resource, ds)
+    stored = write_report(found, f"{lake.root}/dq_report", layer, resource, ds)
+    quarantine(df, failed_rules(stored, rule_list), f"{lake.root}/quarantine", layer, resource, ds)
+    return stored
 
 
 def load(lake: Lake, resource: str, ds: str | dt.date | None = None, mode: str = LOAD_MODES[0], gate: bool = True) -> DataFrame:

@@ -167,7 +167,7 @@ def _report(spark, sf_dir):
 @query("dq_report", f"{REPORT} select * from report")
 def dq_report(spark, sf_dir):
     """Stored and read back."""
-    return dq.write_report(_report(spark, sf_dir), scratch_dir(spark, "report"))
+    return dq.write_report(_report(spark, sf_dir), scratch_dir(spark, "report"), "l1", "carts", DAY)
 
 
 @query("dq_status_counts", f"{REPORT} select status, count(*) as tests from report group by all")
@@ -208,5 +208,6 @@ def quarantine_rows(spark, sf_dir):
     """Violations written by test and read back."""
     path = scratch_dir(spark, "quarantine")
     carts, wanted = adapters.messy_carts(spark, sf_dir), _carts_rules(spark, sf_dir)
-    dq.quarantine(carts, wanted, path, "l1", "carts", DAY)
+    failed = dq.failed_rules(dq.report(carts, wanted, "l1", "carts", DAY), wanted)
+    dq.quarantine(carts, failed, path, "l1", "carts", DAY)
     return spark.read.parquet(f"{path}/l1/carts").withColumn("ds", F.col("ds").cast("date"))
