@@ -13,6 +13,9 @@ from martworks.functions.paths import Found, lookup, quoted
 
 # Python words that are not JSON, with their JSON spelling. Only whole values between separators are replaced.
 PYTHON_WORDS = (("None", "null"), ("True", "true"), ("False", "false"))
+PYTHON_TEXT = r"[\[:,]\s*(None|True|False)\s*[,\]}]|,\s*[\]}]"
+
+ITEM = "struct<productId:string,quantity:string>"
 
 
 def _leaves(column: Column, dtype: T.DataType, name: str) -> list[tuple[str, Column]]:
@@ -95,28 +98,40 @@ def explode_column(df: DataFrame, name: str) -> DataFrame:
 
 
 def _json_form(text: Column) -> Column:
-    """JSON spelling of a Python literal list or dict."""
+    """JSON spelling of a list or object that may be a Python literal; the test spares JSON the rewriting."""
+    spelled = text
     for word, json_word in PYTHON_WORDS:
-        text = F.regexp_replace(text, rf"(?<=[\[:,]\s{{0,8}}){word}(?=\s*[,\]}}])", json_word)
-    return F.regexp_replace(text, r",\s*([\]}])", "$1")
+        spelled = F.regexp_replace(spelled, rf"([\[:,]\s*){word}(?=\s*[,\]}}])", f"$1{json_word}")
+    spelled = F.regexp_replace(spelled, r",\s*([\]}])", "$1")
+    return F.when(text.rlike(PYTHON_TEXT), spelled).otherwise(text)
 
 
-def _parse_or_repair(text: Column, schema: str) -> Column:
-    return F.coalesce(F.from_json(text, schema), F.from_json(_json_form(text), schema))
+def _text_to_item(text: Column) -> Column:
+    """Object written as text; other text is no object."""
+    trimmed = F.trim(text)
+    return F.when(trimmed.startswith("{"), F.from_json(_json_form(trimmed), ITEM))
 
 
-def _text_to_list(text: Column) -> Column:
-    """Elements of a list written as text, each still as text. A lone object is a list of one, junk is null."""
-    trimmed = F.trim(text)
-    return F.when(trimmed.startswith("{"), F.array(trimmed)).otherwise(_parse_or_repair(trimmed, "array<string>"))
+def _text_to_items(text: Column) -> Column:
+    """Objects of a list written as text, or of a lone object; junk is null.
 
+    One parse reads a list of objects. Only when that fails are the elements taken one by one, so that an element that
+    is no object, or is itself text, does not cost its neighbours.
+    """
+    spelled = _json_form(F.trim(text))
+    elements = F.transform(F.from_json(spelled, "array<string>"), _text_to_item)
+    return F.coalesce(F.from_json(spelled, f"array<{ITEM}>"), elements)
 
-def _as_list(column: Column, dtype: T.DataType) -> Found:
-    if isinstance(dtype, T.ArrayType):
-        return Found(column, dtype.elementType)
+
+def _items(column: Column, dtype: T.DataType) -> Found:
+    """The items of a list in any of its forms, and their type."""
     if isinstance(dtype, T.StringType):
-        return Found(_text_to_list(column), T.StringType())
-    return Found(F.when(column.isNotNull(), F.array(column)), dtype)
+        return Found(_text_to_items(column), T.StructType.fromDDL("productId string, quantity string"))
+    if not isinstance(dtype, T.ArrayType):
+        return Found(F.when(column.isNotNull(), F.array(column)), dtype)
+    if isinstance(dtype.elementType, T.StringType):
+        return Found(F.transform(column, _text_to_item), T.StructType.fromDDL("productId string, quantity string"))
+    return Found(column, dtype.elementType)
 
 
 def explode_items(df: DataFrame, name: str = "products") -> DataFrame:
@@ -127,15 +142,10 @@ def explode_items(df: DataFrame, name: str = "products") -> DataFrame:
     """
     if name not in df.columns:
         return df
-    items, element = _as_list(quoted(name), df.schema[name].dataType)
-    rest = [quoted(c) for c in df.columns if c != name]
-    rows = df.select(*rest, F.explode_outer(items).alias(name))
-    if isinstance(element, T.StringType):
-        parsed = _parse_or_repair(quoted(name), "struct<productId:string,quantity:string>")
-        rows = rows.withColumn(name, F.when(F.trim(quoted(name)).startswith("{"), parsed))
-        element = rows.schema[name].dataType
+    items, element = _items(quoted(name), df.schema[name].dataType)
+    kept = [quoted(c) for c in df.columns if c != name]
+    rows = df.select(*kept, F.explode_outer(items).alias(name))
     fields = {f.name: f.dataType for f in element.fields} if isinstance(element, T.StructType) else {}
-    kept = [quoted(c) for c in rows.columns if c != name]
     item = quoted(name)
     product = (
         to_int(item.getField("productId"), fields["productId"]) if "productId" in fields else F.lit(None).cast("bigint")

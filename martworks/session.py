@@ -42,6 +42,7 @@ def build(app_name: str = "martworks", master: str | None = None, cores: int = 8
         builder = builder.master(master)
         settings.update({
             "spark.sql.shuffle.partitions": str(cores),
+            "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         })
