@@ -21,12 +21,18 @@ def order_column(fact: DataFrame) -> str:
 
 
 def summary(fact: DataFrame) -> DataFrame:
-    """One row: revenue, orders, items, unique products, average order value (0 without orders)."""
-    totals = fact.agg(
-        _sum("total_sales").cast("double").alias("revenue"),
-        F.count_distinct(quoted(order_column(fact))).alias("orders"),
-        _sum("quantity").cast("bigint").alias("items"),
-        F.count_distinct("product_id").alias("unique_products"),
+    """One row: revenue, orders, items, unique products, average order value (0 without orders).
+
+    Two exact distinct counts in one aggregate would copy every row for each of them. Here the sums go by product
+    first, which also counts the products, and the orders are counted by a subquery that reads only their column.
+    """
+    orders = fact.agg(F.count_distinct(quoted(order_column(fact)))).scalar()
+    by_product = fact.groupBy("product_id").agg(_sum("total_sales").alias("revenue"), _sum("quantity").alias("items"))
+    totals = by_product.agg(
+        _sum("revenue").cast("double").alias("revenue"),
+        orders.alias("orders"),
+        _sum("items").cast("bigint").alias("items"),
+        F.count("product_id").alias("unique_products"),
     )
     value = F.when(F.col("orders") > 0, F.col("revenue") / F.col("orders")).otherwise(F.lit(0.0))
     return totals.withColumn("aov", value)

@@ -160,7 +160,7 @@ def applicable(df: DataFrame, rules: Iterable[Rule]) -> tuple[list[Rule], list[R
 def row_violations(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
     """Violating rows with their ``test_name``, once per violated rule, from one pass over the frame."""
     broken = F.array(*(F.when(r.violated, F.lit(r.name)) for r in rules))
-    hits = df.where(reduce(or_, (F.coalesce(r.violated, F.lit(False)) for r in rules)))
+    hits = df.where(reduce(or_, (r.violated for r in rules)))
     named = hits.withColumn("test_name", F.explode(F.array_compact(broken)))
     return named.select("test_name", *map(quoted, df.columns))
 

@@ -42,7 +42,7 @@ def table_exists(spark: SparkSession, table: str) -> bool:
 
 
 def table_columns(spark: SparkSession, table: str) -> list[str]:
-    return [column.name for column in spark.catalog.listColumns(table)]
+    return spark.table(table).columns
 
 
 def storage_type(dtype: T.DataType) -> T.DataType:
@@ -62,14 +62,24 @@ def storage_type(dtype: T.DataType) -> T.DataType:
 
 def storable(df: DataFrame) -> DataFrame:
     """Frame with table types; NaN is stored as null."""
-    columns = []
+    changed = {}
     for field in df.schema.fields:
         target = storage_type(field.dataType)
-        column = quoted(field.name).cast(target)
         if isinstance(target, T.DoubleType):
-            column = F.nanvl(column, F.lit(None).cast("double"))
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+            changed[field.name] = F.nanvl(quoted(field.name).cast(target), F.lit(None).cast(target))
+        elif target != field.dataType:
+            changed[field.name] = quoted(field.name).cast(target)
+    return df.withColumns(changed) if changed else df
+
+
+def typed_as(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Frame whose columns have the types they have in ``schema``."""
+    changed = {
+        f.name: quoted(f.name).cast(schema[f.name].dataType)
+        for f in df.schema.fields
+        if f.dataType != schema[f.name].dataType
+    }
+    return df.withColumns(changed) if changed else df
 
 
 def sync_table(spark: SparkSession, table: str, df: DataFrame, partition_by: str | None = PARTITION) -> None:
@@ -108,15 +118,12 @@ def materialize_table(df: DataFrame, table: str, partition_by: str | None = None
 # -- inserts -----------------------------------------------------------------------------------------------------------
 
 def _aligned(df: DataFrame, table: str) -> DataFrame:
-    """Frame in the table's column order; columns it lacks are null."""
+    """Frame in the table's column order and types; columns it lacks are null."""
     schema = df.sparkSession.table(table).schema
     ready = storable(df)
-    return ready.select(
-        *(
-            (quoted(f.name) if f.name in ready.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        )
-    )
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in ready.columns}
+    full = ready.withColumns(missing) if missing else ready
+    return typed_as(full, schema).select(*map(quoted, schema.names))
 
 
 def _insert(df: DataFrame, table: str, overwrite: str | None = None) -> None:
@@ -183,13 +190,14 @@ def _clear_day(spark: SparkSession, table: str, partition: str, day: Any) -> Non
         )
 
 
-def _rewrite(spark: SparkSession, table: str, rows: DataFrame, days: Sequence[Any] | None) -> None:
-    """Make ``rows`` the content of the given days, or of the whole table when ``days`` is ``None``."""
+def _rewrite(
+    spark: SparkSession, table: str, rows: DataFrame, partition: str | None = None, days: Sequence[Any] = ()
+) -> None:
+    """Make ``rows`` the content of the given days, or of the whole table when it has no partitions."""
     staged = _stage(rows, "rewrite")
-    if days is None:
+    if partition is None:
         _insert(staged, table, overwrite="static")
         return
-    partition = partition_columns(spark, table)[0]
     left = _days(staged, partition)
     if left:
         _insert(by_day(staged, partition), table, overwrite="dynamic")
@@ -207,11 +215,11 @@ def delete_where(spark: SparkSession, table: str, where: Mapping[str, Any]) -> N
     keep = ~F.coalesce(match, F.lit(False))
     parts = partition_columns(spark, table)
     if not parts:
-        _rewrite(spark, table, target.where(keep), None)
+        _rewrite(spark, table, target.where(keep))
         return
     days = _days(target.where(match), parts[0])
     if days:
-        _rewrite(spark, table, target.where(_within(parts[0], days)).where(keep), days)
+        _rewrite(spark, table, target.where(_within(parts[0], days)).where(keep), parts[0], days)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -262,8 +270,7 @@ def upsert(batch: DataFrame, table: str, keys: Sequence[str], partition_by: str
     check_unique(batch, keys)
     sync_table(spark, table, batch, partition_by)
     target = spark.table(table)
-    batch = storable(batch)
-    batch = batch.select(*(quoted(c).cast(target.schema[c].dataType).alias(c) for c in batch.columns))
+    batch = typed_as(storable(batch), target.schema)
     parts = partition_columns(spark, table)
     key_rows = batch.select(*map(quoted, keys))
     matched = _stage(target.select(*map(quoted, dict.fromkeys([*keys, *parts]))).join(key_rows, list(keys), "left_semi"),
@@ -272,13 +279,16 @@ def upsert(batch: DataFrame, table: str, keys: Sequence[str], partition_by: str
     if len(keys) == len(batch.columns):
         _insert(fresh, table)
         return
-    days = None
-    if parts:
-        days = _days(matched, parts[0])
-        if parts[0] in batch.columns:
-            days = list({*days, *_days(batch, parts[0])})
-        elif not fresh.isEmpty():
-            days = list({*days, None})
-        target = target.where(_within(parts[0], days))
+    if not parts:
+        rows = merged_rows(target, batch, keys).unionByName(fresh, allowMissingColumns=True)
+        _rewrite(spark, table, rows)
+        return
+    partition = parts[0]
+    days = set(_days(matched, partition))
+    if partition in batch.columns:
+        days.update(_days(batch, partition))
+    elif not fresh.isEmpty():
+        days.add(None)
+    target = target.where(_within(partition, list(days)))
     rows = merged_rows(target, batch, keys).unionByName(fresh, allowMissingColumns=True)
-    _rewrite(spark, table, rows, days)
+    _rewrite(spark, table, rows, partition, list(days))

@@ -1,0 +1,106 @@
+import datetime as dt
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from martworks.functions.coerce import coerce, lost, target_type
+from martworks.functions.scalars import batch_day, on_day, parse_ds, transaction_key, valid_ds
+
+
+def read(spark, values, dtype, type_name, strict=False):
+    df = spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField("v", dtype)]))
+    return [r[0] for r in df.select(coerce(F.col("v"), dtype, type_name, strict)).collect()]
+
+
+TEXT = T.StringType()
+
+
+def test_int_from_text(spark):
+    values = ["12", " 7 ", "1e3", "3.5", "4.0", "x", "", None, "1d", "0x1p3", "9007199254740993", "nan", "-2", "1e30"]
+    assert read(spark, values, TEXT, "Integer") == [
+        12, 7, 1000, None, 4, None, None, None, None, None, 9007199254740993, None, -2, None,
+    ]
+
+
+def test_int_strict_rejects_a_fraction(spark):
+    assert read(spark, ["2", "x"], TEXT, "int", strict=True) == [2, None]
+    with pytest.raises(PySparkException, match="not a whole number"):
+        read(spark, ["3.5"], TEXT, "int", strict=True)
+
+
+def test_int_from_numbers(spark):
+    assert read(spark, [1.0, 2.5, float("nan"), float("inf"), None], T.DoubleType(), "int64") == [
+        1, None, None, None, None,
+    ]
+    assert read(spark, [True, False, None], T.BooleanType(), "int") == [1, 0, None]
+
+
+def test_float(spark):
+    assert read(spark, ["1.5", "-2e-1", ".5", "5.", "abc", "2f", "nan", None], TEXT, "number") == [
+        1.5, -0.2, 0.5, 5.0, None, None, None, None,
+    ]
+    assert read(spark, ["inf", "-Infinity"], TEXT, "float") == [float("inf"), float("-inf")]
+    assert read(spark, [1.0, float("nan")], T.DoubleType(), "float") == [1.0, None]
+
+
+def test_bool_is_truthiness(spark):
+    assert read(spark, ["false", "", "0", None], TEXT, "bool") == [True, False, True, None]
+    assert read(spark, [0, 2, None], T.LongType(), "boolean") == [False, True, None]
+    assert read(spark, [0.0, 0.1, float("nan")], T.DoubleType(), "boolean") == [False, True, None]
+
+
+def test_timestamp(spark):
+    values = [
+        "2020-03-02T00:00:00.000Z", "2020-03-02T05:00:00+07:00", "2020-03-02 10:11:12", "2020-03-02", "03/02/2020",
+        "2020/3/2", "20200302", "12:30", "junk", "", None,
+    ]
+    day = dt.datetime(2020, 3, 2)
+    assert read(spark, values, TEXT, "date") == [
+        day, dt.datetime(2020, 3, 1, 22), dt.datetime(2020, 3, 2, 10, 11, 12), day, day, day, day, None, None, None, None,
+    ]
+    nanos = 1_583_107_200_123_456_789
+    assert read(spark, [nanos], T.LongType(), "timestamp") == [dt.datetime(2020, 3, 2, 0, 0, 0, 123456)]
+    assert read(spark, [dt.date(2020, 3, 2)], T.DateType(), "datetime") == [day]
+
+
+def test_text_and_unknown(spark):
+    assert read(spark, [1, None], T.LongType(), "text") == ["1", None]
+    assert read(spark, [True], T.BooleanType(), "str") == ["True"]
+    assert read(spark, [1], T.LongType(), "uuid") == [1]
+    assert target_type("uuid") is None and target_type(None) is None
+
+
+def test_lost(spark):
+    df = spark.createDataFrame([("1",), ("x",), (None,)], "v string")
+    read_as_int = coerce(F.col("v"), TEXT, "int")
+    assert [r[0] for r in df.select(lost(F.col("v"), read_as_int)).collect()] == [False, True, False]
+
+
+def test_ds():
+    assert parse_ds("2025-11-08") == dt.date(2025, 11, 8)
+    assert batch_day(None) == dt.datetime.now(dt.timezone.utc).date()
+    for bad in ("2025-1-8", "20251108", "2025-13-01", "x"):
+        with pytest.raises(ValueError):
+            parse_ds(bad)
+
+
+def test_valid_ds(spark):
+    df = spark.createDataFrame([("2025-11-08",), ("2025-02-30",), ("2025-1-8",), ("x",), (None,)], "v string")
+    assert [r[0] for r in df.select(valid_ds(F.col("v"))).collect()] == [True, False, False, False, False]
+
+
+def test_on_day_for_each_type(spark):
+    df = spark.sql(
+        "select date'2025-01-02' d, timestamp_ntz'2025-01-02 23:59:59' t, timestamp'2025-01-03 00:00:00' z, '2025-01-02' s"
+    )
+    hits = df.select(*(on_day(F.col(f.name), f.dataType, "2025-01-02").alias(f.name) for f in df.schema.fields)).first()
+    assert tuple(hits) == (True, True, False, True)
+
+
+def test_transaction_key(spark):
+    df = spark.sql("select 1L c, 2L p, timestamp_ntz'2020-01-02 03:04:05' t union all select 1, null, null")
+    keys = [r[0] for r in df.select(transaction_key(F.col("c"), F.col("p"), F.col("t"))).collect()]
+    import hashlib
+    assert sorted(keys) == sorted(hashlib.md5(s).hexdigest() for s in (b"1||2||20200102030405", b"1||"))
