@@ -103,7 +103,7 @@ def build(lake: Lake, batch_ds: str | dt.date | None = None, latest_product: boo
     carts = marts.stg_carts(lake.table("l1", "carts"), batch_ds)
     tables.materialize_table(marts.dim_product(products, latest_product), f"{lake.l2}.dim_product")
     fact = marts.fact_sales(carts, products, latest_product)
-    tables.materialize_table(fact, f"{lake.l2}.fact_sales", partition_by="load_ds")
+    tables.materialize_table(fact, f"{lake.l2}.fact_sales", "load_ds", many_days=batch_ds is None)
 
 
 def check_l2(lake: Lake, ds: str | dt.date | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from martworks.plans.resources import RAW_SCHEMAS
 from martworks.queries.registry import CARTS, FACT_COLUMNS, PRODUCT_DAYS, PRODUCTS, facts, query
 from martworks.queries.sales import BATCH, WITH_FACT, dim, fact
 from martworks.session import scratch_dir
-from martworks.sources import adapters, exports, pick, raw
+from martworks.sources import adapters, exports, pick, raw, tables
 
 DAY = "2025-11-08"
 
@@ -51,6 +51,15 @@ def export_l1(spark, sf_dir):
     return exports.read_csv(spark, path, rows.schema)
 
 
+@query("read_sql", f"with {CARTS} select cart_id, product_id, quantity from carts where ds = date '{BATCH}'")
+def read_sql(spark, sf_dir):
+    """A parameterised query over a named view."""
+    tables.materialize_view(adapters.carts(spark, sf_dir), "l1_carts")
+    return tables.read_sql(
+        spark, "select cart_id, product_id, quantity from l1_carts where ds = cast(:ds as date)", ds=BATCH
+    )
+
+
 def _catalog(table: str, columns: list[tuple[str, str]]) -> str:
     return " union all ".join(
         f"select '{table}' as table_name, '{name}' as column_name, {i} as column_index, '{dtype}' as column_type, "
@@ -118,7 +127,7 @@ def pick_source(spark, sf_dir):
     root = scratch_dir(spark, "feeds")
     users = adapters.raw_users(spark, sf_dir).select("id", "username")
     prefixes = pick.candidate_prefixes(root, "raw", "users", DAY, "shop")
-    users.limit(0).write.json(f"{prefixes[1]}/a_other.json")
+    users.withColumn("id", F.lit("other")).write.json(f"{prefixes[1]}/a_other.json")
     users.write.json(f"{prefixes[1]}/users_{DAY}.json")
     found = pick.pick_source(spark, prefixes, ".json", DAY)
     folder = found.rsplit("/", 1)[0]

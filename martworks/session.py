@@ -35,7 +35,8 @@ CLUSTER_SIZING = {
 def build(app_name: str = "martworks", master: str | None = None, cores: int = 8) -> SparkSession:
     """Session for a cluster (``master=None``) or for a ``local[n]`` master."""
     builder = SparkSession.builder.appName(app_name)
-    settings = dict(SETTINGS)
+    # Call-site capture costs several round trips for each column expression of a plan.
+    settings = {**SETTINGS, "spark.python.sql.dataFrameDebugging.enabled": "false"}
     if master is None:
         settings.update(CLUSTER_SIZING)
     else:

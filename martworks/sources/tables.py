@@ -100,14 +100,21 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [column.name for column in spark.catalog.listColumns(table) if column.isPartition]
 
 
+def read_sql(spark: SparkSession, text: str, **parameters: Any) -> DataFrame:
+    """Rows of a query over the catalog's tables and views; ``:name`` marks a parameter."""
+    return spark.sql(text, args=parameters)
+
+
 def materialize_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
 
 
-def materialize_table(df: DataFrame, table: str, partition_by: str | None = None) -> DataFrame:
-    """Full rebuild of a mart."""
-    rows = by_day(df, partition_by) if partition_by else df
+def materialize_table(
+    df: DataFrame, table: str, partition_by: str | None = None, many_days: bool = False
+) -> DataFrame:
+    """Full rebuild of a mart; ``many_days`` gathers the rows by partition, which one batch does not need."""
+    rows = by_day(df, partition_by) if partition_by and many_days else df
     writer = rows.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(partition_by)

@@ -54,6 +54,11 @@ def test_replace_partition(spark, table, rows):
     assert rows(spark.table(table), "k", "ds") == [(1, D1), (3, D2)]
 
 
+def test_days_are_rebalanced_for_writing(spark):
+    plan = tables.by_day(frame(spark, [(1, "a", 1.0, D1)]))._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
 def test_truncate_insert(spark, table, rows):
     tables.truncate_insert(frame(spark, [(1, "a", 1.0, D1), (2, "b", 2.0, D2)]), table)
     tables.truncate_insert(frame(spark, [(3, "c", 3.0, D3)]), table)
@@ -145,4 +150,6 @@ def test_materialize(spark, table, rows):
     for _ in range(2):
         tables.materialize_table(df, table, partition_by="ds")
     assert rows(spark.table(table), "k") == [(1,), (2,)]
+    tables.materialize_table(df.where("k = 1"), table, partition_by="ds", many_days=True)
+    assert rows(tables.read_sql(spark, f"select k from {table} where k < :top", top=9)) == [(1,)]
     assert rows(tables.materialize_view(df, "items_view"), "k") == [(1,), (2,)]
