@@ -27,7 +27,7 @@ from martworks.operators.reshape import auto_flatten, copy_paths, explode_column
 CART_ORDER = ("cart_id", "user_id", "order_date", "product_id", "quantity", "ds")
 
 # Cast names of the legacy style.
-LEGACY_CASTS = {"int": "bigint", "float": "double", "str": "string", "bool": "boolean"}
+LEGACY_NAMES = ("int", "float", "str")
 LEGACY_TIME_NAMES = ("timestamp", "datetime", "date")
 
 
@@ -185,8 +185,10 @@ def cast_columns(df: DataFrame, casts: Mapping[str, str]) -> DataFrame:
         wanted = str(type_name).lower()
         if wanted in LEGACY_TIME_NAMES:
             new[name] = to_timestamp(quoted(name), df.schema[name].dataType)
-        elif wanted in LEGACY_CASTS:
-            new[name] = quoted(name).try_cast(LEGACY_CASTS[wanted])
+        elif wanted in LEGACY_NAMES:
+            new[name] = coerce(quoted(name), df.schema[name].dataType, wanted)
+        elif wanted == "bool":
+            new[name] = quoted(name).try_cast("boolean")
     return df.withColumns(new) if new else df
 
 

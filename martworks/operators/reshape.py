@@ -118,7 +118,8 @@ def _text_to_items(text: Column) -> Column:
     One parse reads a list of objects. Only when that fails are the elements taken one by one, so that an element that
     is no object, or is itself text, does not cost its neighbours.
     """
-    spelled = _json_form(F.trim(text))
+    trimmed = F.trim(text)
+    spelled = F.when(trimmed.startswith("[") | trimmed.startswith("{"), _json_form(trimmed))
     elements = F.transform(F.from_json(spelled, "array<string>"), _text_to_item)
     return F.coalesce(F.from_json(spelled, f"array<{ITEM}>"), elements)
 
