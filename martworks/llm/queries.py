@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from martworks.llm import packing, substring_dedup, token_counts
+from martworks.llm import near_dedup, packing, substring_dedup, token_counts
 from martworks.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,3 +38,8 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.limits(token_counts.histogram(table(spark, sf_dir, "documents")))
+
+
+@query
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
