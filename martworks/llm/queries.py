@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martworks.llm import near_dedup, packing, substring_dedup, token_counts
+from martworks.llm import near_dedup, packing, quality_rules, secrets, substring_dedup, token_counts
 from martworks.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,3 +43,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))

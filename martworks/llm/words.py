@@ -6,6 +6,7 @@ All of these are single bytes in UTF-8, so a block is handled as bytes. A null t
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,6 +22,8 @@ _LOWER[ord("A"): ord("Z") + 1] += 32
 _MASKS = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=np.uint64)
 
 _ODD1, _ODD2, _ODD3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F))
+# Slices of more bytes are hashed one by one.
+LONG_SLICE = 4096
 _S32, _S29 = np.uint64(32), np.uint64(29)
 
 
@@ -97,8 +100,10 @@ def slice_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     eight = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
     length = end - start
     out = mix(length.astype(np.uint64) + _ODD3)
-    todo, at = np.arange(len(start)), start
-    left = length
+    for k in np.flatnonzero(length > LONG_SLICE).tolist():
+        out[k] = int.from_bytes(hashlib.blake2b(data[start[k]: end[k]], digest_size=8).digest(), "little")
+    todo = np.flatnonzero(length <= LONG_SLICE)
+    at, left = start[todo], length[todo]
     while len(todo):
         value = eight[at] & _MASKS[np.minimum(left, 8)]
         out[todo] = mix(out[todo] * _ODD3 ^ value)
