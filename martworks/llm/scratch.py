@@ -9,12 +9,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martworks.session import scratch_dir
+from martworks.session import scratch_dir, tune
+
+# Rows and bytes that a Python task gets at once, so that long texts do not fill its memory.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
+}
+
+
+def tuned(spark: SparkSession) -> SparkSession:
+    """The runtime settings that the operators of this package rely on."""
+    tune(spark)
+    for key, value in BATCHES.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return spark
 
 
 class Scratch:
     def __init__(self, spark: SparkSession, purpose: str):
-        self.spark = spark
+        self.spark = tuned(spark)
         self.base = scratch_dir(spark, purpose)
         self.frames: dict[str, DataFrame] = {}
 
