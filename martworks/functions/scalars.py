@@ -9,8 +9,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Operands of money arithmetic: eighteen digits stay in one machine word, the product keeps all eight decimals.
-NUMERIC = T.DecimalType(18, 4)
+# Operands of money arithmetic. Their product has 38 digits, 12 of them decimals, which is as many as a decimal holds, so it
+# is exact. A value that does not fit fails; decimals beyond these are rounded, which `cast_changes` counts.
+PRICE, QUANTITY = T.DecimalType(21, 8), T.DecimalType(16, 4)
 
 DS_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 
@@ -26,6 +27,13 @@ def transaction_key(cart_id: Column, product_id: Column, at: Column) -> Column:
     return F.md5(F.concat_ws("||", cart_id.cast("string"), product_id.cast("string"), second))
 
 
+def cast_changes(column: Column, dtype: T.DecimalType) -> Column:
+    """Aggregate: values that the cast to ``dtype`` rounds or cannot hold. Fractions count as the decimals they print as."""
+    exact = column.cast("string").try_cast(T.DecimalType(38, 18))
+    held = column.try_cast(dtype).cast(T.DecimalType(38, 18))
+    return F.count_if(column.isNotNull() & ~F.coalesce(exact == held, F.lit(False)))
+
+
 def valid_ds(column: Column) -> Column:
     """True for text that is a real day written YYYY-MM-DD."""
     return F.coalesce(column.rlike(DS_PATTERN) & column.try_cast("date").isNotNull(), F.lit(False))

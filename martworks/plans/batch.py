@@ -22,6 +22,7 @@ from martworks.plans import marts, rules
 from martworks.plans.resources import CONFIGS, PRIMARY_KEYS, RAW_SCHEMAS, RESOURCES
 from martworks.sources import exports, raw, tables
 
+REPORT_SCHEMA = "test_name string, layer string, resource string, ds date, status string, failures bigint"
 LOAD_MODES = ("replace_partition", "truncate_insert", "upsert")
 
 
@@ -35,8 +36,13 @@ class Lake:
     l2: str = "l2"
 
     def create(self) -> Lake:
+        """Databases below the root. Tables that an earlier process left there are opened again."""
         for name in (self.l1, self.l2):
             tables.ensure_database(self.spark, name, f"{self.root}/{name}")
+        for resource in RESOURCES:
+            tables.reopen_table(self.spark, f"{self.l1}.{resource}")
+        tables.reopen_table(self.spark, f"{self.l2}.dim_product", None)
+        tables.reopen_table(self.spark, f"{self.l2}.fact_sales", "load_ds")
         return self
 
     def table(self, layer: str, name: str) -> DataFrame:
@@ -51,10 +57,15 @@ def to_columns(resource: str, records: DataFrame, ds: str | dt.date, config: Map
 
 
 def transform(lake: Lake, resource: str, ds: str | dt.date | None = None) -> None:
-    """Raw JSON of one day to staging."""
+    """Raw JSON of one day to staging, replacing the day.
+
+    Values that do not have the type of the schema are null, and lines that are no JSON go to the quarantine of the raw
+    layer. A day without records leaves an empty staging day.
+    """
     day = batch_day(ds)
-    records = raw.read_raw(lake.spark, lake.root, resource, day, RAW_SCHEMAS[resource])
-    raw.write_staging(to_columns(resource, records, day), lake.root, resource)
+    records = raw.read_raw(lake.spark, lake.root, resource, day, RAW_SCHEMAS[resource], lenient=True)
+    raw.write_staging_day(to_columns(resource, raw.readable(records), day), lake.root, resource, day)
+    raw.malformed(records).write.mode("overwrite").text(f"{lake.root}/quarantine/raw/{resource}/ds={day}")
 
 
 def check(lake: Lake, layer: str, resource: str, ds: dt.date, df: DataFrame, rule_list: list[Rule]) -> DataFrame:
@@ -66,15 +77,21 @@ def check(lake: Lake, layer: str, resource: str, ds: dt.date, df: DataFrame, rul
 
 
 def load(lake: Lake, resource: str, ds: str | dt.date | None = None, mode: str = LOAD_MODES[0], gate: bool = True) -> DataFrame:
-    """Staging of one day into its table, after the pre-load checks. A failed check stops the load."""
+    """Staging of one day into its table, after the pre-load checks. A failed check stops the load.
+
+    A day without rows is not checked and changes nothing; its table is created if there is none yet.
+    """
     if mode not in LOAD_MODES:
         raise ValueError(f"load mode must be one of {LOAD_MODES}")
     day = batch_day(ds)
     batch = raw.read_staging(lake.spark, lake.root, resource, day)
+    table = f"{lake.l1}.{resource}"
+    if batch.isEmpty():
+        tables.sync_table(lake.spark, table, batch)
+        return lake.spark.createDataFrame([], REPORT_SCHEMA)
     checked = check(lake, "staging", resource, day, batch, basic_checks(resource, CONFIGS[resource]))
     if gate:
         enforce(checked)
-    table = f"{lake.l1}.{resource}"
     if mode == "upsert":
         tables.upsert(batch, table, PRIMARY_KEYS[resource])
     elif mode == "truncate_insert":

@@ -6,33 +6,39 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martworks.functions.paths import quoted
-from martworks.functions.scalars import NUMERIC, clean_category, on_day, transaction_key
+from martworks.functions.scalars import PRICE, QUANTITY, clean_category, on_day, transaction_key
 
 
 def _batch(df: DataFrame, batch_ds: str | dt.date | None) -> DataFrame:
     return df if batch_ds is None else df.where(on_day(quoted("ds"), df.schema["ds"].dataType, batch_ds))
 
 
-def stg_products(products: DataFrame, batch_ds: str | dt.date | None = None) -> DataFrame:
+def stg_products(
+    products: DataFrame, batch_ds: str | dt.date | None = None, price: T.DecimalType = PRICE
+) -> DataFrame:
+    """Product rows; ``price`` is the type of the money operand (``cast_changes`` tells what it rounds)."""
     return _batch(products, batch_ds).select(
         "product_id",
         quoted("title").alias("product_name"),
         clean_category(quoted("category")).alias("category"),
-        quoted("price").cast(NUMERIC).alias("price"),
+        quoted("price").cast(price).alias("price"),
         quoted("ds").alias("load_ds"),
     )
 
 
-def stg_carts(carts: DataFrame, batch_ds: str | dt.date | None = None) -> DataFrame:
+def stg_carts(
+    carts: DataFrame, batch_ds: str | dt.date | None = None, quantity: T.DecimalType = QUANTITY
+) -> DataFrame:
     """Cart lines; the transaction date is ``order_date``, else ``date``, else the batch day."""
     by_name = {name.lower(): name for name in carts.columns}
     dated = next(by_name[name] for name in ("order_date", "date", "ds") if name in by_name)
     return _batch(carts, batch_ds).select(
         "cart_id",
         "product_id",
-        quoted("quantity").cast(NUMERIC).alias("quantity"),
+        quoted("quantity").cast(quantity).alias("quantity"),
         quoted(dated).cast("timestamp_ntz").alias("transaction_date"),
         quoted("ds").alias("load_ds"),
     )

@@ -41,8 +41,8 @@ def load_truncate(spark, sf_dir):
     """A second load replaces the first; an empty third one changes nothing."""
     carts = adapters.messy_carts(spark, sf_dir)
     table = fresh_table(spark, "carts")
-    tables.truncate_insert(tables.by_day(carts), table)
-    tables.truncate_insert(tables.by_day(carts.where("quantity < 1")), table)
+    tables.truncate_insert(carts, table, many_days=True)
+    tables.truncate_insert(carts.where("quantity < 1"), table, many_days=True)
     tables.truncate_insert(carts.where("quantity < -100"), table)
     return spark.table(table)
 

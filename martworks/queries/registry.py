@@ -36,7 +36,7 @@ def plain(df: DataFrame) -> DataFrame:
         return df
     return df.select(
         *(
-            quoted(c).cast(T.DecimalType(18, 4)).cast("double").alias(c) if c in decimals else quoted(c)
+            quoted(c).cast(T.DecimalType(38, 4)).cast("double").alias(c) if c in decimals else quoted(c)
             for c in df.columns
         )
     )

@@ -41,14 +41,25 @@ def export_rows(table: DataFrame, ds: str | dt.date) -> DataFrame:
     return _of_day(table, "ds", ds)
 
 
+# Quotes are doubled, as other readers expect; blanks at either end belong to the value; null is an empty field and empty
+# text a quoted one.
+_CSV = {
+    "header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+    "nullValue": "", "emptyValue": '""',
+}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with header; an ordered frame gives part files in order."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with header; an ordered frame gives part files in order. Texts come back as they were, line breaks included."""
+    df.write.mode("overwrite").options(**_CSV).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with header; timestamps are parsed by the schema, so no inference pass runs."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """CSV with header; timestamps are parsed by the schema, so no inference pass runs.
+
+    Values may hold line breaks, so a file is one task's work; the writer leaves a file for each of its tasks.
+    """
+    return spark.read.schema(schema).options(**{**_CSV, "emptyValue": ""}).option("multiLine", True).csv(path)
 
 
 def catalog_columns(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,23 +32,49 @@ def day_path(root: str, layer: str, resource: str, ds: str | dt.date) -> str:
     return f"{root}/{layer}/{resource}/ds={parse_ds(ds)}"
 
 
+CORRUPT = "_corrupt_record"
+
+
 def read_json(
-    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None, lines: bool = True
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None, lines: bool = True,
+    lenient: bool = False,
 ) -> DataFrame:
     """Records of JSON lines, or of envelopes; without ``schema`` Spark infers one, at the price of another pass.
 
     ``lines=False`` reads one document per file. Such a file is one task's work, so keep it to what one fetch
-    returned; volume belongs in JSON lines, which split.
+    returned; volume belongs in JSON lines, which split. A line that cannot be read as the schema says fails the read;
+    with ``lenient`` (and a schema) the values that cannot are null and the column ``_corrupt_record`` holds the line.
     """
-    reader = spark.read.option("mode", "FAILFAST").option("multiLine", not lines)
+    reader = spark.read.option("mode", "PERMISSIVE" if lenient else "FAILFAST").option("multiLine", not lines)
     if schema is not None:
-        # An envelope carries the records in `data`; a bare document is itself the one record.
-        reader = reader.schema(T.StructType([T.StructField("data", T.ArrayType(schema)), *schema.fields]))
+        # An envelope carries the records in `data` beside `meta`; a bare document is itself the one record.
+        own = {name.lower() for name in schema.names}
+        extra = [T.StructField("data", T.ArrayType(schema)), T.StructField("meta", T.StringType())]
+        fields = [*(f for f in extra if f.name not in own), *schema.fields]
+        if lenient:
+            fields.append(T.StructField(CORRUPT, T.StringType()))
+            reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+        reader = reader.schema(T.StructType(fields))
     return unwrap(reader.json(path))
 
 
+def malformed(records: DataFrame) -> DataFrame:
+    """Lines of a lenient read of which nothing could be read."""
+    nothing = reduce(and_, (quoted(c).isNull() for c in records.columns if c != CORRUPT))
+    return records.where(quoted(CORRUPT).isNotNull() & nothing).select(CORRUPT)
+
+
+def readable(records: DataFrame) -> DataFrame:
+    """Records of a lenient read without the malformed lines."""
+    nothing = reduce(and_, (quoted(c).isNull() for c in records.columns if c != CORRUPT))
+    return records.where(~(quoted(CORRUPT).isNotNull() & nothing)).drop(CORRUPT)
+
+
 def unwrap(df: DataFrame) -> DataFrame:
-    """Records of an envelope: ``data`` where it is present, else the document itself."""
+    """Records of an envelope: ``data`` where it is present, else the document itself, even if all its fields are null.
+
+    A document with ``meta`` and without ``data`` is an envelope that carries no record.
+    """
     if "data" not in df.columns or not isinstance(df.schema["data"].dataType, T.ArrayType):
         return df
     records = quoted("data")
@@ -57,10 +83,11 @@ def unwrap(df: DataFrame) -> DataFrame:
         return df
     if all(name in df.columns for name in element.names):
         own = [quoted(name) for name in element.names]
-        filled = reduce(or_, (c.isNotNull() for c in own))
         single = F.array(F.struct(*(c.alias(n) for c, n in zip(own, element.names))).cast(element))
-        records = F.coalesce(records, F.when(filled, single))
-    return df.select(F.explode(records).alias("record")).select("record.*")
+        bare = quoted("meta").isNull() if "meta" in df.columns and "meta" not in element.names else F.lit(True)
+        records = F.coalesce(records, F.when(bare, single))
+    kept = [quoted(CORRUPT)] if CORRUPT in df.columns else []
+    return df.select(F.explode(records).alias("record"), *kept).select("record.*", *kept)
 
 
 def write_raw(
@@ -81,8 +108,10 @@ def write_raw(
     return count
 
 
-def read_raw(spark: SparkSession, root: str, resource: str, ds: str | dt.date, schema: T.StructType) -> DataFrame:
-    return read_json(spark, day_path(root, "raw", resource, ds), schema)
+def read_raw(
+    spark: SparkSession, root: str, resource: str, ds: str | dt.date, schema: T.StructType, lenient: bool = False
+) -> DataFrame:
+    return read_json(spark, day_path(root, "raw", resource, ds), schema, lenient=lenient)
 
 
 def read_meta(spark: SparkSession, root: str, resource: str, ds: str | dt.date) -> DataFrame:
@@ -99,7 +128,20 @@ def write_staging(df: DataFrame, root: str, resource: str) -> None:
     )
 
 
-def read_staging(spark: SparkSession, root: str, resource: str, ds: str | dt.date) -> DataFrame:
-    """One day of staging; the partition filter keeps other days unread."""
-    frame = spark.read.parquet(f"{root}/staging/{resource}")
-    return frame.where(F.col("ds") == F.lit(parse_ds(ds)))
+def write_staging_day(df: DataFrame, root: str, resource: str, ds: str | dt.date) -> None:
+    """Staging Parquet of one day, replaced as a whole, so a day landed again without records is empty afterwards."""
+    df.drop("ds").write.mode("overwrite").parquet(day_path(root, "staging", resource, ds))
+
+
+def read_staging(
+    spark: SparkSession, root: str, resource: str, ds: str | dt.date, schema: T.StructType | None = None
+) -> DataFrame:
+    """One day of staging, opened by its folder, so no other day is listed.
+
+    A day that was never written has no rows if the ``schema`` is given, else the read fails.
+    """
+    reader = spark.read.option("basePath", f"{root}/staging/{resource}").option("ignoreMissingFiles", True)
+    if schema is not None:
+        reader = reader.schema(schema)
+    frame = reader.parquet(day_path(root, "staging", resource, ds))
+    return frame.withColumn("ds", quoted("ds").cast("date"))

@@ -7,11 +7,13 @@ hold affected rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from operator import and_
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,13 +84,58 @@ def typed_as(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.withColumns(changed) if changed else df
 
 
+def named_as(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Frame whose columns are spelled as in ``names`` where they differ in case only."""
+    spelled = {name.lower(): name for name in names}
+    lowered = [c.lower() for c in df.columns]
+    if len(set(lowered)) < len(lowered):
+        raise ValueError(f"columns differ in case only: {sorted(c for c in df.columns if lowered.count(c.lower()) > 1)}")
+    wanted = [spelled.get(c.lower(), c) for c in df.columns]
+    return df if wanted == df.columns else df.toDF(*wanted)
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    """Folder of a table: below that of its database."""
+    database, _, name = table.rpartition(".")
+    base = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    return f"{base.rstrip('/')}/{name}"
+
+
+def reopen_table(spark: SparkSession, table: str, partition_by: str | None = PARTITION) -> bool:
+    """Make a table known that an earlier process left in its folder; False if there is nothing to reopen.
+
+    A catalogue that lives in the session forgets its tables, their files stay. Columns are those of all files together,
+    and the partitions are those of the folder.
+    """
+    if table_exists(spark, table):
+        return True
+    location = table_location(spark, table)
+    try:
+        schema = spark.read.option("mergeSchema", True).parquet(location).schema
+    except AnalysisException:  # no such folder, or no file in it
+        return False
+    partitioned = partition_by in schema.names
+    columns = ", ".join(f"{_sql_name(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+    parts = f" PARTITIONED BY ({_sql_name(partition_by)})" if partitioned else ""
+    spark.sql(f"CREATE TABLE {_sql_name(table)} ({columns}) USING parquet{parts} LOCATION '{location}'")
+    if partitioned:
+        spark.sql(f"ALTER TABLE {_sql_name(table)} RECOVER PARTITIONS")
+    return True
+
+
 def sync_table(spark: SparkSession, table: str, df: DataFrame, partition_by: str | None = PARTITION) -> None:
-    """Create the table from the frame, or add the frame's new columns. Columns are never dropped or retyped."""
+    """Create the table from the frame, or add the frame's new columns. Columns are never dropped or retyped.
+
+    A table whose files an earlier process left is reopened first.
+    """
+    named_as(df, ())
+    reopen_table(spark, table, partition_by)
     fields = {f.name: storage_type(f.dataType).simpleString() for f in df.schema.fields}
     if not table_exists(spark, table):
         columns = ", ".join(f"{_sql_name(name)} {dtype}" for name, dtype in fields.items())
         parts = f" PARTITIONED BY ({_sql_name(partition_by)})" if partition_by in fields else ""
-        spark.sql(f"CREATE TABLE {_sql_name(table)} ({columns}) USING parquet{parts}")
+        spark.sql(f"CREATE TABLE {_sql_name(table)} ({columns}) USING parquet{parts} "
+                  f"LOCATION '{table_location(spark, table)}'")
         return
     known = {name.lower() for name in table_columns(spark, table)}
     new = [f"{_sql_name(name)} {dtype}" for name, dtype in fields.items() if name.lower() not in known]
@@ -115,7 +162,7 @@ def materialize_table(
 ) -> DataFrame:
     """Full rebuild of a mart; ``many_days`` gathers the rows by partition, which one batch does not need."""
     rows = by_day(df, partition_by) if partition_by and many_days else df
-    writer = rows.write.mode("overwrite").format("parquet")
+    writer = rows.write.mode("overwrite").format("parquet").option("path", table_location(df.sparkSession, table))
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.saveAsTable(table)
@@ -127,7 +174,7 @@ def materialize_table(
 def _aligned(df: DataFrame, table: str) -> DataFrame:
     """Frame in the table's column order and types; columns it lacks are null."""
     schema = df.sparkSession.table(table).schema
-    ready = storable(df)
+    ready = named_as(storable(df), schema.names)
     missing = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in ready.columns}
     full = ready.withColumns(missing) if missing else ready
     return typed_as(full, schema).select(*map(quoted, schema.names))
@@ -149,12 +196,14 @@ def append_rows(df: DataFrame, table: str, partition_by: str | None = PARTITION)
     _insert(df, table)
 
 
-def truncate_insert(df: DataFrame, table: str, partition_by: str | None = PARTITION) -> None:
-    """Replace all rows; an empty batch changes nothing."""
+def truncate_insert(
+    df: DataFrame, table: str, partition_by: str | None = PARTITION, many_days: bool = False
+) -> None:
+    """Replace all rows; an empty batch changes nothing. ``many_days`` gathers the rows by day first, in one shuffle."""
     if df.isEmpty():
         return
     sync_table(df.sparkSession, table, df, partition_by)
-    _insert(df, table, overwrite="static")
+    _insert(by_day(df, partition_by) if many_days else df, table, overwrite="static")
 
 
 def replace_partition(df: DataFrame, table: str, partition_by: str = PARTITION, many_days: bool = False) -> None:
@@ -178,10 +227,17 @@ def _within(partition: str, days: Sequence[Any]) -> Column:
     return named | quoted(partition).isNull() if None in days else named
 
 
-def _stage(df: DataFrame, purpose: str) -> DataFrame:
+@contextmanager
+def staged(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """The rows written to the scratch folder and read from there; the folder is emptied when the block ends well.
+
+    After a failure they stay, since they may be the only copy of rows that were being moved.
+    """
     path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    rows = df.sparkSession.read.schema(df.schema).parquet(path)
+    yield rows
+    df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
 
 
 def _clear_day(spark: SparkSession, table: str, partition: str, day: Any) -> None:
@@ -201,16 +257,16 @@ def _rewrite(
     spark: SparkSession, table: str, rows: DataFrame, partition: str | None = None, days: Sequence[Any] = ()
 ) -> None:
     """Make ``rows`` the content of the given days, or of the whole table when it has no partitions."""
-    staged = _stage(rows, "rewrite")
-    if partition is None:
-        _insert(staged, table, overwrite="static")
-        return
-    left = _days(staged, partition)
-    if left:
-        _insert(by_day(staged, partition), table, overwrite="dynamic")
-    for day in days:
-        if day not in left:
-            _clear_day(spark, table, partition, day)
+    with staged(rows, "rewrite") as ready:
+        if partition is None:
+            _insert(ready, table, overwrite="static")
+            return
+        left = _days(ready, partition)
+        if left:
+            _insert(by_day(ready, partition), table, overwrite="dynamic")
+        for day in days:
+            if day not in left:
+                _clear_day(spark, table, partition, day)
 
 
 def delete_where(spark: SparkSession, table: str, where: Mapping[str, Any]) -> None:
@@ -225,6 +281,10 @@ def delete_where(spark: SparkSession, table: str, where: Mapping[str, Any]) -> N
         _rewrite(spark, table, target.where(keep))
         return
     days = _days(target.where(match), parts[0])
+    if set(where) == {parts[0]}:  # whole days: no row has to be read or kept
+        for day in days:
+            _clear_day(spark, table, parts[0], day)
+        return
     if days:
         _rewrite(spark, table, target.where(_within(parts[0], days)).where(keep), parts[0], days)
 
@@ -273,29 +333,32 @@ def upsert(batch: DataFrame, table: str, keys: Sequence[str], partition_by: str
     The matched keys and their days are found first, by a semi join over the key columns; only those days and the
     days of the batch are read in full and rewritten.
     """
+    with staged(storable(batch), "batch") as rows:  # read several times below, computed once
+        _upsert(rows, table, keys, partition_by)
+
+
+def _upsert(batch: DataFrame, table: str, keys: Sequence[str], partition_by: str | None) -> None:
     spark = batch.sparkSession
     check_unique(batch, keys)
     sync_table(spark, table, batch, partition_by)
     target = spark.table(table)
-    batch = typed_as(storable(batch), target.schema)
+    batch = typed_as(named_as(batch, target.columns), target.schema)
+    keys = named_as(batch.select(*map(quoted, keys)), target.columns).columns
     parts = partition_columns(spark, table)
     key_rows = batch.select(*map(quoted, keys))
-    matched = _stage(target.select(*map(quoted, dict.fromkeys([*keys, *parts]))).join(key_rows, list(keys), "left_semi"),
-                     "matched")
-    fresh = new_rows(batch, matched, keys)
-    if len(keys) == len(batch.columns):
-        _insert(fresh, table)
-        return
-    if not parts:
+    found = target.select(*map(quoted, dict.fromkeys([*keys, *parts]))).join(key_rows, list(keys), "left_semi")
+    with staged(found, "matched") as matched:
+        fresh = new_rows(batch, matched, keys)
+        if len(keys) == len(batch.columns):
+            _insert(fresh, table)
+            return
+        days = []
+        if parts:
+            days = set(_days(matched, parts[0]))
+            if parts[0] in batch.columns:
+                days.update(_days(batch, parts[0]))
+            elif not fresh.isEmpty():
+                days.add(None)
+            target = target.where(_within(parts[0], list(days)))
         rows = merged_rows(target, batch, keys).unionByName(fresh, allowMissingColumns=True)
-        _rewrite(spark, table, rows)
-        return
-    partition = parts[0]
-    days = set(_days(matched, partition))
-    if partition in batch.columns:
-        days.update(_days(batch, partition))
-    elif not fresh.isEmpty():
-        days.add(None)
-    target = target.where(_within(partition, list(days)))
-    rows = merged_rows(target, batch, keys).unionByName(fresh, allowMissingColumns=True)
-    _rewrite(spark, table, rows, partition, list(days))
+        _rewrite(spark, table, rows, parts[0] if parts else None, list(days))
