@@ -7,12 +7,14 @@ word, so frequent words are split further and rare ones are not. The prefix coun
 In a group the suffixes are sorted. Suffixes that agree on ``size`` words lie below one internal node at that depth,
 which is a repeat of at least ``size`` words; where such repeats follow each other in a document they make up a maximal
 repeat, which is how :func:`repeats` reports them. Nodes deeper than ``size`` cannot change which words are covered, so
-a suffix is cut at that depth, and its path there is named by a 64-bit hash of its words rather than spelled out. Two
-different paths of a corpus with n windows share a name with a chance of about n * n / 2**65.
+a suffix is cut at that depth, and its path there is named by a 56-bit hash of its words rather than spelled out. Names
+are compared within a group of about a million suffixes, so a path shares its name with another one with a chance of about
+1 in 10**11, whatever the size of the corpus.
 
 Documents are ordered by id: of each node the smallest id keeps its words and all others lose them. Copies inside one
 block of texts are settled before the shuffle, so a passage that occurs in a third of all documents sends one entry
-for each block, not for each document.
+for each block, not for each document. Groups answer each block with the repeats among its suffixes, and a block lists
+them by document.
 """
 
 from __future__ import annotations
@@ -30,11 +32,13 @@ from martworks.llm.scratch import Scratch, only
 from martworks.llm.words import Texts, covered, mix, starts_of_windows, window_hashes, word_hashes, words_of
 
 SIZE = 13
-# Suffixes of a group, about; a task holds some 60 bytes of each.
-SUFFIXES_PER_GROUP = 1_500_000
+# Suffixes of a group, about; a task holds some 80 bytes of each.
+SUFFIXES_PER_GROUP = 1_000_000
 # Words of a block that is sorted at once in a task.
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 1_000_000
 DEEPEST_PREFIX = 4
+# Names are compared within a group only, so 56 bits of the hash are enough.
+UNUSED_BITS = np.uint64(8)
 # Most heavy prefixes that are sent to the tasks (8 bytes each); beyond it groups are allowed to grow.
 MOST_HEAVY = 2_000_000
 
@@ -127,7 +131,7 @@ def heavy_prefixes(docs: DataFrame, size: int, total_words: int, per_group: int)
 
 def _packed(columns: list[np.ndarray]) -> bytes:
     """Integer columns as byte planes, so that bytes that are always zero cost nothing once compressed."""
-    planes = [np.ascontiguousarray(c.view(np.uint8).reshape(len(c), -1).T).tobytes() for c in columns]
+    planes = [np.ascontiguousarray(c.view(np.uint8).reshape(len(c), c.itemsize).T).tobytes() for c in columns]
     return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
 
 
@@ -141,7 +145,8 @@ def _unpacked(blob: bytes, n: int, kinds: list[str]) -> list[np.ndarray]:
     return out
 
 
-_LEAF = ["<u8", "<i8", "<u4"]  # name of the path (as steps from the one before), document, place of the suffix
+# A leaf: name of its path (as the step from the one before), document (its place in the block), place of the suffix.
+_LEAF = ["<u8", "<u4", "<u4"]
 
 
 def _suffixes(size: int, groups: int, heavy):
@@ -155,52 +160,74 @@ def _suffixes(size: int, groups: int, heavy):
             if not len(starts):
                 continue
             hashes = word_hashes(texts, words)
-            name = window_hashes(hashes, size)[starts]
+            name = window_hashes(hashes, size)[starts] >> UNUSED_BITS
             group = _group_of(hashes, starts, known, groups)
-            doc = ids[words.text_of()[starts]]
-            place = words.place()[starts]
+            doc = words.text_of()[starts].astype(np.uint32)
+            place = words.place()[starts].astype(np.uint32)
             del hashes, words, starts, texts
             order = np.argsort(name)
             order = order[np.argsort(group[order].astype(np.uint16 if groups < 1 << 16 else np.int64), kind="stable")]
             name, group, doc, place = name[order], group[order], doc[order], place[order]
             # Below a node of this block only the smallest document can be the first of all.
-            lost = doc > _first_documents(name, doc)
+            lost = ids[doc] > _first_documents(name, ids[doc])
+            block = int.from_bytes(hashlib.blake2b(ids.tobytes(), digest_size=8).digest(), "little", signed=True)
             bounds = np.flatnonzero(np.diff(group, prepend=-1))
             rows = []
             for lo, hi in zip(bounds, [*bounds[1:], len(group)], strict=True):
                 own, gone = lo + np.flatnonzero(~lost[lo:hi]), lo + np.flatnonzero(lost[lo:hi])
-                steps = np.diff(name[own], prepend=np.uint64(0))
-                rows.append((int(group[lo]), len(own), _packed([steps, doc[own], place[own].astype("<u4")]), len(gone),
-                             _packed([doc[gone], place[gone].astype("<u4")])))
+                table, doc_of = np.unique(doc[own], return_inverse=True)
+                rows.append((int(group[lo]), block, len(own), ids[table].astype("<i8").tobytes(),
+                             _packed([np.diff(name[own], prepend=np.uint64(0)), doc_of.astype("<u4"), place[own]]),
+                             len(gone), _packed([ids[doc[gone]].astype("<i8"), place[gone]])))
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (
-                pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary()), strict=True)],
-                ["grp", "n", "leaves", "n_lost", "lost"])
+                pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary()), strict=True)],
+                ["grp", "block", "n", "docs", "leaves", "n_lost", "lost"])
 
     return run
 
 
 def _subtree(table: pa.Table) -> pa.Table:
-    """One group's subtree: leaves below an internal node at full depth, but for its smallest document's, are repeats."""
-    name, doc, place, gone_doc, gone_place = [], [], [], [], []
-    for n, leaves, n_lost, lost in zip(*(table.column(c).to_pylist() for c in ("n", "leaves", "n_lost", "lost")),
-                                       strict=True):
+    """One group's subtree: leaves below an internal node at full depth, but for its smallest document's, are repeats.
+
+    They are sent back as one row for each block that they come from.
+    """
+    block = table.column("block").to_pylist()
+    name, doc, place, source = [], [], [], []
+    for k, (n, docs, leaves) in enumerate(zip(*(table.column(c).to_pylist() for c in ("n", "docs", "leaves")),
+                                              strict=True)):
         steps, d, p = _unpacked(leaves, n, _LEAF)
         name.append(np.cumsum(steps, dtype=np.uint64))
-        doc.append(d)
+        doc.append(np.frombuffer(docs, "<i8")[d])
         place.append(p)
-        d, p = _unpacked(lost, n_lost, _LEAF[1:])
-        gone_doc.append(d)
-        gone_place.append(p)
-    name, doc, place = map(np.concatenate, (name, doc, place))
+        source.append(np.full(n, k, np.uint32))
+    name, doc, place, source = map(np.concatenate, (name, doc, place, source))
     order = np.argsort(name)
-    name, doc, place = name[order], doc[order], place[order]
-    lost = doc > _first_documents(name, doc)
-    doc = np.concatenate([doc[lost], *gone_doc])
-    place = np.concatenate([place[lost], *gone_place])
+    name = name[order]
+    lost = order[doc[order] > _first_documents(name, doc[order])] if len(order) else order
+    del name, order
+    lost = lost[np.argsort(source[lost], kind="stable")]
+    bounds = np.searchsorted(source[lost], np.arange(len(block) + 1))
+    rows = []
+    for k, (n_lost, gone) in enumerate(zip(table.column("n_lost").to_pylist(), table.column("lost").to_pylist(),
+                                           strict=True)):
+        own = lost[bounds[k]: bounds[k + 1]]
+        if len(own):
+            rows.append((block[k], len(own), _packed([doc[own], place[own]])))
+        if n_lost:
+            rows.append((block[k], n_lost, gone))
+    return pa.table({n: pa.array([r[k] for r in rows], t) for k, (n, t) in enumerate(
+        (("block", pa.int64()), ("n", pa.int64()), ("lost", pa.binary())))})
+
+
+def _by_document(table: pa.Table) -> pa.Table:
+    """All repeats of one block, a row for each of its documents."""
+    parts = [_unpacked(lost, n, ["<i8", "<u4"]) for n, lost in zip(
+        table.column("n").to_pylist(), table.column("lost").to_pylist(), strict=True)]
+    doc, place = (np.concatenate(c) for c in zip(*parts, strict=True))
     order = np.argsort(doc, kind="stable")
     doc, place = doc[order], place[order]
-    bounds = np.flatnonzero(np.diff(doc, prepend=doc[0] - 1 if len(doc) else 0))
-    ends = np.append(bounds[1:], len(doc))[: len(bounds)]
+    bounds = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+    ends = np.append(bounds[1:], len(doc))
     return pa.table({"doc_id": pa.array(doc[bounds], pa.int64()),
                      "places": pa.array([place[lo:hi].tobytes() for lo, hi in zip(bounds, ends, strict=True)],
                                         pa.binary())})
@@ -216,10 +243,11 @@ def repeat_places(docs: DataFrame, size: int = SIZE, per_group: int = SUFFIXES_P
     words = total // 5  # an upper estimate is enough: it only sizes the groups
     heavy = spark.sparkContext.broadcast(heavy_prefixes(docs, size, words, per_group))
     groups = max(12, -(-words // per_group))
-    suffixes = docs.mapInArrow(_suffixes(size, groups, heavy),
-                               "grp long, n long, leaves binary, n_lost long, lost binary")
-    lost = suffixes.groupBy("grp").applyInArrow(_subtree, "doc_id long, places binary")
-    return lost.groupBy("doc_id").agg(F.collect_list("places").alias("parts"))
+    suffixes = docs.mapInArrow(_suffixes(size, groups, heavy), "grp long, block long, n long, docs binary, leaves binary, "
+                                                               "n_lost long, lost binary")
+    lost = suffixes.groupBy("grp").applyInArrow(_subtree, "block long, n long, lost binary")
+    places = lost.groupBy("block").applyInArrow(_by_document, "doc_id long, places binary")
+    return places.groupBy("doc_id").agg(F.collect_list("places").alias("parts"))
 
 
 def substring_dedup(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text",
