@@ -86,7 +86,7 @@ def signatures(shingles: np.ndarray, at: np.ndarray, coordinates: int) -> np.nda
 
 def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
     """A 64-bit key for each band, distinct between bands."""
-    parts = signature.reshape(len(signature), -1, rows).astype(np.uint64)
+    parts = signature.reshape(len(signature), signature.shape[1] // rows, rows).astype(np.uint64)
     key = np.broadcast_to(np.arange(parts.shape[1], dtype=np.uint64), parts.shape[:2]).copy()
     for k in range(rows):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, k])
@@ -139,7 +139,8 @@ def _compare_blocks(size: int, percent: int):
         shingles, at = shingle_sets(Texts.of(table["text"]), size)
         rep, comp, key, centre = (table[c].to_numpy() for c in ("rep", "comp", "key", "centre"))
         rest, minor = (table[c].to_numpy(zero_copy_only=False) for c in ("rest", "minor"))
-        bands = table["bands"].combine_chunks().flatten().to_numpy().reshape(len(rep), -1)
+        bands = table["bands"].combine_chunks().flatten().to_numpy()
+        bands = bands.reshape(len(rep), len(bands) // max(len(rep), 1))
         blocks: dict = {}
         for row, block in enumerate(zip(key.tolist(), table["u"].to_pylist(), table["v"].to_pylist(), strict=True)):
             blocks.setdefault(block, ([], []))[int(rest[row])].append(row)
