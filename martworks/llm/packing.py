@@ -120,7 +120,7 @@ def token_lengths(docs: DataFrame, id_col: str, text_col: str, size: int, end_id
     CRC-32 of each piece's ids."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, end, seen = PieceIds(path), np.array([end_id], "<u4").tobytes(), 0
+        pieces, end, seen = PieceIds.of_worker(path), np.array([end_id], "<u4").tobytes(), 0
         for batch in batches:
             nth, seen = np.arange(seen, seen + batch.num_rows), seen + batch.num_rows
             lengths, crcs = [], []

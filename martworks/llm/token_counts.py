@@ -23,7 +23,7 @@ def lengths(docs: DataFrame, text_col: str = "text", tokenizer: str | None = Non
     """``n_tokens`` of each row; null and empty texts have none (0)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = PieceIds(tokenizer)
+        pieces = PieceIds.of_worker(tokenizer)
         for batch in batches:
             counts = [len(pieces.ids(t)) for t in batch.column(0).to_pylist()]
             yield pa.record_batch([pa.array(counts, pa.int64())], ["n_tokens"])

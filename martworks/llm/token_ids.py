@@ -10,11 +10,13 @@ run on whole texts.
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 
 # A Python worker remembers the ids of at most twice so many pieces, none longer than so many characters.
-REMEMBERED, LONGEST = 150_000, 40
-PUNCTUATION = ".,;:!?"
+REMEMBERED, LONGEST = 200_000, 40
+PUNCTUATION = ".,;:!?%&#*$|"
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -29,29 +31,49 @@ class PieceIds:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path or tokenizer_path())
-        self.bytes_as_characters = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.tokenize = self.tokenizer.model.tokenize
+        self.latin = {}  # Latin letters as the characters that stand for their bytes, where lowering keeps them letters
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        for code in range(0x80, 0x250):
+            lowered = self.tokenizer.normalizer.normalize_str(chr(code))
+            if chr(code).isalpha() and lowered.isalpha():
+                self.latin[code] = spell(lowered)[0][0]
+        self.odd = {chr(code) for code in range(0x80, 0x250) if code not in self.latin}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    @classmethod
+    def of_worker(cls, path: str | None = None) -> PieceIds:
+        """The one of this Python worker, which later tasks find as earlier ones left it."""
+        import tokenizers
+
+        kept = vars(tokenizers).setdefault("_piece_ids_of_worker", {})
+        if path not in kept:
+            kept[path] = cls(path)
+        return kept[path]
+
+    def _is_plain(self, word: str) -> bool:
+        """Letters, Latin ones that stay letters when lowered."""
+        return word.isalpha() and (word.isascii() or max(word) < "ɐ" and self.odd.isdisjoint(word))
+
     def _letters(self, word: str) -> bytes:
-        """Ids of a word of Latin letters: one piece for the merges, so they run on it directly."""
-        if not word.isascii():
-            word = self.bytes_as_characters.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(word))[0][0]
-        return np.array([t.id for t in self.tokenizer.model.tokenize(word)], "<u4").tobytes()
+        """Ids of a plain word: one piece for the merges, so they run on it directly."""
+        return array("I", [t.id for t in self.tokenize(word if word.isascii() else word.translate(self.latin))]).tobytes()
 
     def _whole(self, piece: str) -> bytes:
-        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
 
     def _find(self, piece: str) -> bytes:
+        """Ids of a piece that ``known`` does not hold; it holds it afterwards."""
         ids = self.older.get(piece)
         if ids is None:
             core = piece.rstrip(PUNCTUATION)
-            if core.isalpha() and max(core) < "ɐ":
-                ids = self._letters(core)
-                if len(core) < len(piece):
-                    ids += self._of(piece[len(core):])
-            else:
+            if not self._is_plain(core):
                 ids = self._whole(piece)
+            elif len(core) == len(piece):
+                ids = self._letters(piece)
+            else:
+                ids = self._of(core) + self._of(piece[len(core):])
         if len(piece) <= LONGEST:
             if len(self.known) >= REMEMBERED:
                 self.known, self.older = {}, self.known
@@ -65,11 +87,11 @@ class PieceIds:
     def ids(self, text: str | None) -> np.ndarray:
         """Ids of a text as unsigned 32-bit integers; a null text has none."""
         text = (text or "").replace("\n", " ")
-        if "<|" not in text:  # else the text may hold a special token, which is told by its case
-            text = text.encode().lower().decode()
-        pieces = text.split(" ")
-        try:
-            found = [self.known[p] for p in pieces]
-        except KeyError:
-            found = [self._of(p) for p in pieces]
-        return np.frombuffer(b"".join(found), "<u4")
+        if "<|" in text:  # perhaps a special token, which is told by its case
+            return np.frombuffer(self._whole(text), "=u4")
+        pieces = text.encode().lower().decode().split(" ")
+        found = list(map(self.known.get, pieces))
+        if None in found:
+            of = self._of
+            found = [of(p) if ids is None else ids for p, ids in zip(pieces, found, strict=True)]
+        return np.frombuffer(b"".join(found), "=u4")
