@@ -32,9 +32,11 @@ select distinct product_id, title as product_name, lower(trim(category)) as cate
        price::decimal(18, 4)::double as price, date '1997-01-01' as last_ingested_ds from product_days"""
 
 
-@query("export_dim", DIM_SQL)
+@query("export_dim", DIM_SQL.replace("from product_days", "from product_days where product_id % 3 <> 0"))
 def export_dim(spark, sf_dir):
-    return exports.export_dim(dim(spark, sf_dir), "1997-01-01")
+    """A third of the products was last seen on another day and stays out."""
+    seen = F.when(F.col("product_id") % 3 != 0, F.col("last_ingested_ds")).otherwise(F.lit("1996-01-01").cast("date"))
+    return exports.export_dim(dim(spark, sf_dir).withColumn("last_ingested_ds", seen), "1997-01-01")
 
 
 @query("export_dim_fallback", DIM_SQL)
@@ -103,12 +105,12 @@ def raw_envelopes(spark, sf_dir):
     return raw.read_json(spark, path, RAW_SCHEMAS["users"]).select("id", "email", "username", "phone")
 
 
-@query("raw_meta", f"""select 'customer' as source, '{DAY}T05:24:35Z' as fetched_at, count(*) as count,
+@query("raw_meta", f"""select 'customer' as source, '{DAY}T07:11:02Z' as fetched_at, count(*) as count,
 date '{DAY}' as ds from customer""")
 def raw_meta(spark, sf_dir):
     """The meta row beside the landed records."""
     root = scratch_dir(spark, "raw")
-    at = dt.datetime(2025, 11, 8, 5, 24, 35, tzinfo=dt.timezone.utc)
+    at = dt.datetime(2025, 11, 8, 7, 11, 2, tzinfo=dt.timezone.utc)
     raw.write_raw(adapters.raw_users(spark, sf_dir), root, "users", DAY, "customer", at)
     return raw.read_meta(spark, root, "users", DAY).withColumn("ds", F.lit(DAY).cast("date"))
 

@@ -59,11 +59,23 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
     Values may hold line breaks, so a file is one task's work; the writer leaves a file for each of its tasks.
     """
-    return spark.read.schema(schema).options(**{**_CSV, "emptyValue": ""}).option("multiLine", True).csv(path)
+    # The reader turns an unquoted empty field into its null mark, so that mark must be no text that can occur.
+    marks = {"emptyValue": "", "nullValue": "\u0000"}
+    return spark.read.schema(schema).options(**{**_CSV, **marks}).option("multiLine", True).csv(path)
 
 
-def catalog_columns(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per table column: position, type, rows and nulls. Each table is read once."""
+def catalog_columns(tables: Mapping[str, DataFrame], counts: bool = True) -> DataFrame:
+    """One row per table column: position, type, rows and nulls. Each table is read once.
+
+    Without ``counts`` the rows come from the schemas alone, and no table is read.
+    """
+    if not counts:
+        rows = [
+            (name, f.name, i, f.dataType.simpleString())
+            for name, df in tables.items() for i, f in enumerate(df.schema.fields, start=1)
+        ]
+        spark = next(iter(tables.values())).sparkSession
+        return spark.createDataFrame(rows, "table_name string, column_name string, column_index int, column_type string")
     return _union([_describe(name, df) for name, df in tables.items()])
 
 
