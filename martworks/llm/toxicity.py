@@ -9,6 +9,7 @@ adds nothing and neutral mentions are not flagged.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import astuple, dataclass
@@ -24,10 +25,12 @@ from martworks.llm.scratch import only
 SAMPLE, FEATURES = 20_000, 4000
 # First letters of a word that are features besides the word.
 PREFIXES = (4, 5)
-PENALTY, COUNTERFACTUAL, STEPS = 2.0, 10.0, 300
+# Standard errors by which a feature's shares among toxic and other texts differ.
+CLEARLY_APART = 4.0
+PENALTY, COUNTERFACTUAL, STEPS = 0.1, 10.0, 300
 TRIM = ".,;:!?()[]{}\"'`*#%$&|<>~-_/\\"
 REMEMBERED = 100_000
-# Terms that name groups, by kind; a counterfactual takes the next of the kind.
+# Terms that name groups, by kind; a counterfactual takes another of the kind.
 IDENTITY = (
     ("women", "men", "girls", "boys", "transgender"),
     ("woman", "man", "girl", "boy"),
@@ -41,8 +44,16 @@ IDENTITY = (
 )
 
 
-def swaps() -> dict[str, str]:
-    return {kind[k]: kind[(k + 1) % len(kind)] for kind in IDENTITY for k in range(len(kind))}
+def swapped(words: list[str], turn: int) -> list[str]:
+    """The words with each identity term replaced by another of its kind, a different one for each turn."""
+    def other(word: str) -> str:
+        kind, at = _PLACE.get(word.lower().strip(TRIM), ((), 0))
+        return kind[(at + 1 + turn % (len(kind) - 1)) % len(kind)] if kind else word
+
+    return [other(w) for w in words]
+
+
+_PLACE = {term: (kind, k) for kind in IDENTITY for k, term in enumerate(kind)}
 
 
 def features_of(token: str) -> tuple[str, ...]:
@@ -104,20 +115,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _vectors(features: list[str]):
-    other = swaps()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         present = Present({f: k for k, f in enumerate(features)})
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            own, swapped = [], []
+            own, changed = [], []
             for text in texts:
                 own.append(sorted(present.of(text)))
                 words = (text or "").split()
-                changed = [other.get(w.lower().strip(TRIM), w) for w in words]
-                swapped.append(sorted(present.of(" ".join(changed))) if changed != words else None)
+                instead = swapped(words, zlib.crc32((text or "").encode()))
+                changed.append(sorted(present.of(" ".join(instead))) if instead != words else None)
             yield pa.record_batch([batch.column("toxic"), pa.array(own, pa.list_(pa.int32())),
-                                   pa.array(swapped, pa.list_(pa.int32()))], ["toxic", "own", "swapped"])
+                                   pa.array(changed, pa.list_(pa.int32()))], ["toxic", "own", "swapped"])
 
     return run
 
@@ -127,17 +136,22 @@ def _sparse(rows: list) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(rows)), sizes), np.array([k for r in rows for k in r], np.int64)
 
 
-def fit_weights(toxic: np.ndarray, own: list, swapped: list, n: int) -> tuple[np.ndarray, float]:
+def fit_weights(toxic: np.ndarray, own: list, other: list, n: int) -> tuple[np.ndarray, float]:
     """Logistic regression with a squared penalty on weights and on score changes between a text and its counterfactual."""
     row, col = _sparse(own)
-    pairs = [(a, b) for a, b in zip(own, swapped, strict=True) if b is not None]
+    pairs = [(a, b) for a, b in zip(own, other, strict=True) if b is not None]
     plus_row, plus_col = _sparse([a for a, _ in pairs])
     minus_row, minus_col = _sparse([b for _, b in pairs])
     m, many = len(toxic), max(len(pairs), 1)
     w, bias, v, vb = np.zeros(n), math.log((toxic.sum() + 1) / (m - toxic.sum() + 1)), np.zeros(n), 0.0
-    # The step follows the curvature: of the loss at most a quarter of the longest text, shared by its features.
-    size = np.bincount(row, minlength=m).max(initial=1) + 1
-    rate = 1.0 / (0.25 * np.sqrt(size) * 4 + PENALTY / m + 2 * COUNTERFACTUAL)
+    # A step length for each weight, from a bound on the curvature: a row with k features shares it k ways.
+    size = np.bincount(row, minlength=m) + 1
+    curve = 0.25 / m * np.bincount(col, size[row], n) + PENALTY / m
+    if pairs:
+        moved = np.bincount(plus_row, minlength=many) + np.bincount(minus_row, minlength=many)
+        curve += 2 * COUNTERFACTUAL / many * (np.bincount(plus_col, moved[plus_row], n)
+                                              + np.bincount(minus_col, moved[minus_row], n))
+    rate, bias_rate = 1 / curve, 1 / (0.25 * size.mean())
     for step in range(STEPS):
         keep = step / (step + 3)
         aw, ab = w + keep * v, bias + keep * vb
@@ -148,7 +162,7 @@ def fit_weights(toxic: np.ndarray, own: list, swapped: list, n: int) -> tuple[np
             change = np.bincount(plus_row, aw[plus_col], many) - np.bincount(minus_row, aw[minus_col], many)
             slope += 2 * COUNTERFACTUAL / many * (np.bincount(plus_col, change[plus_row], n)
                                                   - np.bincount(minus_col, change[minus_row], n))
-        new, new_bias = aw - rate * slope, ab - rate * error.mean()
+        new, new_bias = aw - rate * slope, ab - bias_rate * error.mean()
         v, vb, w, bias = new - w, new_bias - bias, new, new_bias
     return w, bias
 
@@ -169,10 +183,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = (only(labels, doc_id=id_col, toxic=label_col).where("doc_id is not null and toxic is not null")
             .where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    # At most ``sample`` ids and labels; a document that occurs in several rows is learned from once for each text.
+    # At most ``sample`` ids and labels; a document that occurs in several rows is learned from once.
     learn = spark.createDataFrame(rows.collect(), "doc_id long, toxic int")
-    texts = (only(docs, doc_id=id_col, text=text_col).join(F.broadcast(learn), "doc_id").select("toxic", "text")
-             .limit(2 * sample))
+    texts = (only(docs, doc_id=id_col, text=text_col).join(F.broadcast(learn), "doc_id")
+             .groupBy("doc_id").agg(F.first("toxic").alias("toxic"), F.min("text").alias("text")).select("toxic", "text"))
     counts = (texts.mapInArrow(_count, "feature string, toxic int, n long").groupBy("feature")
               .agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"),
                    F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("good")))
@@ -180,16 +194,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     if not n1 or not n0:
         return Model([], [], 0.0 if not (n1 or n0) else (4.0 if n1 else -4.0))
-    share = (F.col("bad") + F.col("good")) / (n1 + n0)
-    apart = F.abs(F.col("bad") / n1 - F.col("good") / n0) / F.sqrt(share * (1 - share) + 1e-6)
-    best = counts.where(F.col("bad") + F.col("good") >= 3).orderBy(apart.desc(), "feature").limit(features)
+    share = (F.col("bad") + F.col("good") + 1) / (n1 + n0 + 2)
+    apart = F.abs(F.col("bad") / n1 - F.col("good") / n0) / F.sqrt(share * (1 - share) * (1 / n1 + 1 / n0))
+    best = (counts.where((F.col("bad") + F.col("good") >= 3) & (apart >= CLEARLY_APART))
+            .orderBy(apart.desc(), "feature").limit(features))
     names = [r.feature for r in best.select("feature").collect()]
-    names += sorted({f"={t}" for kind in IDENTITY for t in kind} - set(names))
+    names += sorted({f for term in _PLACE for f in features_of(term)} - set(names))
     vectors = texts.mapInArrow(_vectors(names), "toxic int, own array<int>, swapped array<int>").toArrow()
-    own, swapped = vectors["own"].to_pylist(), vectors["swapped"].to_pylist()
+    own, other = vectors["own"].to_pylist(), vectors["swapped"].to_pylist()
     if not own:
         return Model([], [], 0.0)
-    weights, bias = fit_weights(vectors["toxic"].to_numpy().astype(float), own, swapped, len(names))
+    weights, bias = fit_weights(vectors["toxic"].to_numpy().astype(float), own, other, len(names))
     return Model(names, weights.tolist(), float(bias))
 
 
