@@ -44,24 +44,35 @@ MOST_HEAVY = 2_000_000
 
 
 class _Blocks:
-    """Gathers Arrow batches into blocks of about ``BLOCK_WORDS`` words."""
+    """Gathers Arrow batches into blocks of about ``BLOCK_WORDS`` words. A text is never cut."""
 
     def __init__(self, batches: Iterator[pa.RecordBatch]):
         self.batches = batches
 
     def __iter__(self):
+        limit, ids, parts, held = BLOCK_WORDS * 6, [], [], 0
         for batch in self.batches:
             texts = Texts.of(batch.column("text"))
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            # A batch is cut where its bytes pass a bound; a text is never cut.
-            limit = BLOCK_WORDS * 6
+            own = batch.column("doc_id").to_numpy(zero_copy_only=False)
             lo = 0
             while lo < len(texts):
-                hi = int(np.searchsorted(texts.at, texts.at[lo] + limit, side="right")) - 1
+                hi = int(np.searchsorted(texts.at, texts.at[lo] + limit - held, side="right")) - 1
                 hi = min(max(hi, lo + 1), len(texts))
                 at = texts.at[lo: hi + 1]
-                yield ids[lo:hi], Texts(texts.data[at[0]: at[-1]], at - at[0])
+                ids.append(own[lo:hi])
+                parts.append(Texts(texts.data[at[0]: at[-1]], at - at[0]))
+                held += int(at[-1] - at[0])
+                if held >= limit or hi < len(texts):
+                    yield np.concatenate(ids), _together(parts)
+                    ids, parts, held = [], [], 0
                 lo = hi
+        if ids:
+            yield np.concatenate(ids), _together(parts)
+
+
+def _together(parts: list[Texts]) -> Texts:
+    ends = np.concatenate([np.diff(p.at) for p in parts])
+    return Texts(np.concatenate([p.data for p in parts]), np.concatenate([[0], np.cumsum(ends)]))
 
 
 def _prefix_hashes(hashes: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
@@ -176,12 +187,12 @@ def _suffixes(size: int, groups: int, heavy):
             for lo, hi in zip(bounds, [*bounds[1:], len(group)], strict=True):
                 own, gone = lo + np.flatnonzero(~lost[lo:hi]), lo + np.flatnonzero(lost[lo:hi])
                 table, doc_of = np.unique(doc[own], return_inverse=True)
-                rows.append((int(group[lo]), block, len(own), ids[table].astype("<i8").tobytes(),
+                rows.append((int(group[lo]), block, len(own), len(table), _packed([np.diff(ids[table].astype("<i8"), prepend=0)]),
                              _packed([np.diff(name[own], prepend=np.uint64(0)), doc_of.astype("<u4"), place[own]]),
                              len(gone), _packed([ids[doc[gone]].astype("<i8"), place[gone]])))
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (
-                pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary()), strict=True)],
-                ["grp", "block", "n", "docs", "leaves", "n_lost", "lost"])
+                pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary()),
+                strict=True)], ["grp", "block", "n", "n_docs", "docs", "leaves", "n_lost", "lost"])
 
     return run
 
@@ -193,11 +204,11 @@ def _subtree(table: pa.Table) -> pa.Table:
     """
     block = table.column("block").to_pylist()
     name, doc, place, source = [], [], [], []
-    for k, (n, docs, leaves) in enumerate(zip(*(table.column(c).to_pylist() for c in ("n", "docs", "leaves")),
-                                              strict=True)):
+    for k, (n, n_docs, docs, leaves) in enumerate(zip(*(table.column(c).to_pylist() for c in (
+            "n", "n_docs", "docs", "leaves")), strict=True)):
         steps, d, p = _unpacked(leaves, n, _LEAF)
         name.append(np.cumsum(steps, dtype=np.uint64))
-        doc.append(np.frombuffer(docs, "<i8")[d])
+        doc.append(np.cumsum(_unpacked(docs, n_docs, ["<i8"])[0])[d])
         place.append(p)
         source.append(np.full(n, k, np.uint32))
     name, doc, place, source = map(np.concatenate, (name, doc, place, source))
@@ -243,8 +254,9 @@ def repeat_places(docs: DataFrame, size: int = SIZE, per_group: int = SUFFIXES_P
     words = total // 5  # an upper estimate is enough: it only sizes the groups
     heavy = spark.sparkContext.broadcast(heavy_prefixes(docs, size, words, per_group))
     groups = max(12, -(-words // per_group))
-    suffixes = docs.mapInArrow(_suffixes(size, groups, heavy), "grp long, block long, n long, docs binary, leaves binary, "
-                                                               "n_lost long, lost binary")
+    suffixes = docs.mapInArrow(
+        _suffixes(size, groups, heavy),
+        "grp long, block long, n long, n_docs long, docs binary, leaves binary, n_lost long, lost binary")
     lost = suffixes.groupBy("grp").applyInArrow(_subtree, "block long, n long, lost binary")
     places = lost.groupBy("block").applyInArrow(_by_document, "doc_id long, places binary")
     return places.groupBy("doc_id").agg(F.collect_list("places").alias("parts"))
