@@ -15,7 +15,10 @@ from martworks.llm.scratch import Scratch, tuned
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learn from labelled documents of the input, drop those that score 0.5 or more."""
+    """Learn from labelled documents of the input, drop those that score 0.5 or more.
+
+    Without labels to learn from (none, all held out, none of a document of the input, one kind only) all documents stay.
+    """
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.keep_clean(docs, model)
 

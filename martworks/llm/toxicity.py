@@ -96,6 +96,8 @@ class Model:
     features: list[str]
     weights: list[float]
     bias: float
+    # Whether any feature told toxic from other labels; if not, the scores say nothing about a text.
+    learned: bool = True
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,12 +178,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         sample: int = SAMPLE, features: int = FEATURES) -> Model:
     """Fit on at most ``sample`` labelled rows that are not held out, chosen by a hash of their id.
 
-    Several labels of one id count as toxic if one does; null labels, ids and labels without a document are left out. With
-    no usable row the model scores every text 0.5.
+    Several labels of one id count as toxic if one does; null labels, ids and labels without a document are left out before
+    the sample is taken. With no usable row the model scores every text 0.5, with labels of one kind only it scores every
+    text by that kind. In both cases, and if no feature tells the labels apart, ``learned`` is false and
+    :func:`keep_clean` keeps every row.
     """
     spark = docs.sparkSession
-    rows = (only(labels, doc_id=id_col, toxic=label_col).where("doc_id is not null and toxic is not null")
-            .where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+    usable = (only(labels, doc_id=id_col, toxic=label_col).where("doc_id is not null and toxic is not null")
+              .where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic")))
+    rows = (only(docs, doc_id=id_col).join(usable, "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     # At most ``sample`` ids and labels; a document that occurs in several rows is learned from once.
     learn = spark.createDataFrame(rows.collect(), "doc_id long, toxic int")
@@ -193,19 +198,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     totals = {r.toxic: r["count"] for r in learn.groupBy("toxic").count().collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     if not n1 or not n0:
-        return Model([], [], 0.0 if not (n1 or n0) else (4.0 if n1 else -4.0))
+        return Model([], [], 0.0 if not (n1 or n0) else (4.0 if n1 else -4.0), learned=False)
     share = (F.col("bad") + F.col("good") + 1) / (n1 + n0 + 2)
     apart = F.abs(F.col("bad") / n1 - F.col("good") / n0) / F.sqrt(share * (1 - share) * (1 / n1 + 1 / n0))
     best = (counts.where((F.col("bad") + F.col("good") >= 3) & (apart >= CLEARLY_APART))
             .orderBy(apart.desc(), "feature").limit(features))
     names = [r.feature for r in best.select("feature").collect()]
+    learned = bool(names)
     names += sorted({f for term in _PLACE for f in features_of(term)} - set(names))
     vectors = texts.mapInArrow(_vectors(names), "toxic int, own array<int>, swapped array<int>").toArrow()
     own, other = vectors["own"].to_pylist(), vectors["swapped"].to_pylist()
-    if not own:
-        return Model([], [], 0.0)
     weights, bias = fit_weights(vectors["toxic"].to_numpy().astype(float), own, other, len(names))
-    return Model(names, weights.tolist(), float(bias))
+    return Model(names, weights.tolist(), float(bias), learned)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -216,7 +220,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     shared = docs.sparkSession.sparkContext.broadcast(astuple(model))  # at most ``features`` names and weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, weights, bias = shared.value
+        names, weights, bias, _ = shared.value
         present = Present({f: k for k, f in enumerate(names)})
         for batch in batches:
             scores = []
@@ -229,11 +233,13 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", bound: float = 0.5) -> DataFrame:
-    """Rows of ``docs``, all columns, that score less than ``bound``."""
+    """Rows of ``docs``, all columns, that score less than ``bound``; all rows if the model has learned nothing."""
+    if not model.learned:
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(astuple(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, weights, bias = shared.value
+        names, weights, bias, _ = shared.value
         present = Present({f: k for k, f in enumerate(names)})
         least = math.log(bound / (1 - bound))
         for batch in batches:

@@ -1,3 +1,5 @@
+import zlib
+
 import pytest
 from oddities import frame, texts
 from test_decontaminate import clean
@@ -89,3 +91,17 @@ def test_stages_bear_empty_tables(spark):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
     assert len(texts()) > 10
+
+
+@pytest.mark.parametrize("kind", ["none", "null", "held out", "unmatched", "toxic only", "clean only", "too few"])
+def test_all_documents_stay_when_nothing_is_learned(spark, tmp_path, kind):
+    docs = frame(spark, [(k, f"word{k} text") for k in range(40)] + [(None, "no id"), (3, None)])
+    held = [k for k in range(40) if zlib.crc32(str(k).encode()) % 5 == 0]
+    free = [k for k in range(40) if k not in held]
+    labels = {"none": [], "null": [(k, None) for k in free], "held out": [(k, k % 2) for k in held],
+              "unmatched": [(1000 + k, k % 2) for k in range(100)], "toxic only": [(k, 1) for k in free],
+              "clean only": [(k, 0) for k in free], "too few": [(free[0], 1), (free[1], 1), (free[2], 0)]}[kind]
+    assert held
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = corpus_pipeline.drop_toxic(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns and out.count() == docs.count()

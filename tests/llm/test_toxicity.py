@@ -78,6 +78,12 @@ def test_the_sample_is_bounded(spark):
     assert len(few.features) == len(few.weights)
 
 
+def test_labels_without_a_document_take_no_place_in_the_sample(spark):
+    docs, labels = labelled()
+    others = [(10**6 + k, k % 2) for k in range(20_000)]
+    assert model_of(spark, docs, labels + others, sample=1500) == model_of(spark, docs, labels, sample=1500)
+
+
 def test_query_over_the_whole_table(spark):
     d = "/root/testdata/sf0.1"
     rows = QUERIES["op8_toxicity"](spark, d).collect()
