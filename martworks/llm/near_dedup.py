@@ -30,7 +30,7 @@ from martworks.llm.scratch import Scratch, only
 from martworks.llm.words import Texts, mix, starts_of_windows, window_hashes, word_hashes, words_of
 
 COORDINATES, ROWS = 128, 4
-# Documents of a block of step 3, and rows of such blocks that one call handles.
+# Documents of a side of a block of step 3, and rows of buckets of a single block that one call handles about.
 BLOCK, BUNDLE = 128, 1500
 # Ids up to this number (8 bytes each) are broadcast to choose the texts to verify; more are joined by a shuffle.
 BROADCAST_IDS = 4_000_000
@@ -256,9 +256,12 @@ def _between_components(scratch: Scratch, known: DataFrame, members: DataFrame,
     sides = (rows.withColumn("rest", F.lit(False)).withColumn("v", nth(F.col("vs"))).withColumn("u", F.explode(one))
              .unionByName(rows.where("minor").withColumn("rest", F.lit(True)).withColumn("u", nth(F.col("us")))
                           .withColumn("v", F.explode(other))))
-    bundles = max(1, -(-rows.count() // BUNDLE))
-    full = (sides.withColumn("bundle", F.pmod(F.xxhash64("key", "u", "v"), F.lit(bundles)))
-            .join(bands, "rep").join(texts, "rep")
+    # A bucket of several blocks gives a call for each block, so that no call grows with it; smaller ones share calls.
+    small = F.col("vs") == 1
+    shared = rows.where(small).agg(F.sum(1 + F.col("minor").cast("long"))).first()[0] or 0
+    bundle = F.when(small, F.pmod(F.xxhash64("key"), F.lit(max(1, -(-shared // BUNDLE))))).otherwise(
+        F.xxhash64("key", "u", "v"))
+    full = (sides.withColumn("bundle", bundle).join(bands, "rep").join(texts, "rep")
             .select("bundle", "key", "u", "v", "rest", "minor", "rep", "comp", "centre", "bands", "text"))
     return full.groupBy("bundle").applyInArrow(_compare_blocks(size, percent), "a long, b long")
 

@@ -78,6 +78,26 @@ def test_components_equal_brute_force(spark, monkeypatch, block):
     assert all(r.n_shingles in {len(s) for s in sets[r.doc_id]} for r in rows if r.doc_id is not None)
 
 
+def test_no_call_grows_with_a_bucket(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    monkeypatch.setattr(near_dedup, "BUNDLE", 40)
+    monkeypatch.setattr(near_dedup, "_compare_blocks", lambda size, percent: lambda table: pa.table(
+        {"a": pa.array([table.num_rows], pa.int64()), "b": pa.array([0], pa.int64())}))
+    # One bucket of 800 documents and 100 buckets of 3, in each of which half of the documents or one is linked to nothing.
+    rows = [(7, d, 800) for d in range(800)] + [(100 + d // 3, 1000 + d, 3) for d in range(300)]
+    members = spark.createDataFrame([(key, d, 9, size) for key, d, size in rows], "key long, rep long, n long, size long")
+    labels = spark.createDataFrame([(d, 0 if d < 800 else 1000 + (d - 1000) // 3 * 3) for _, d, _ in rows
+                                    if d < 400 or d >= 1000 and d % 3 != 0], "node long, label long")
+    centres = members.groupBy("key").agg({"rep": "min"}).toDF("key", "centre").selectExpr("key", "centre", "9L as n_centre")
+    classes = spark.createDataFrame([(d, [key]) for key, d, _ in rows], "rep long, bands array<long>")
+    known = spark.createDataFrame([(d, f"text {d}") for _, d, _ in rows], "doc_id long, text string")
+    calls = near_dedup._between_components(Scratch(spark, "calls"), known, members, centres, classes, labels, 2, 80)
+    sizes = [r.a for r in calls.collect()]
+    assert sum(sizes) >= 800 * 25 + 400 * 50 + 300  # 25 blocks of unlinked documents by 50 of all, and the small buckets
+    assert max(sizes) <= 5 * 2 * 16  # a few blocks
+    assert len(sizes) <= 25 * 50 + 20  # small buckets share calls
+
+
 def test_one_row_of_each_group_stays(spark):
     docs = frame(spark)
     kept = near_dedup.near_dedup(docs)
