@@ -2,8 +2,13 @@
 
 A text is put into a canonical form: lower case, no copyright lines, one blank for any run of characters that are neither
 letters nor digits, and one spelling where several are usual. Its SHA-256 is then hash-joined with the digests of known
-licences. The whole text is looked up, and so is each of its lines, since notices stand on a line of their own in longer
-texts. All of it is SQL functions.
+licences. The whole text is looked up, and so is each of its lines, however long, since notices stand on a line of their
+own in longer texts. All of it is SQL functions.
+
+A copyright line starts, after comment marks, with the word copyright, with ``(c)`` or with ``©``, whatever follows. Two
+kinds of lines that start so are sentences of a licence and stay: ``copyright`` before a word of ``SENTENCE``, as in
+"copyright notice", and ``(c)`` in a line without a year and with a word of ``CONDITION``, as in the third item of a list.
+A line that holds a copyright statement and a licence goes as a whole, so a licence after it in that line is not found.
 """
 
 from __future__ import annotations
@@ -17,11 +22,24 @@ from pyspark.sql import functions as F
 from martworks.llm.license_texts import SPELLINGS, TEXTS
 from martworks.llm.scratch import only
 
-# A line that states a copyright, with what may stand before the word.
-COPYRIGHT_LINE = r"(^|\n)[^\p{L}\p{N}\n]*(copyright|\(c\)|©)[ \t]*([0-9(©][^\n]*)"
+# Words that make a line a sentence about copyright, and words that make a line a condition.
+SENTENCE = ("notices?|holders?|owners?|laws?|licen[sc]e[sd]?|interests?|statements?|protection|permission|ownership|"
+            "infringements?|acts?|and|or|in|is|to|for|as")
+CONDITION = ("you|your|must|shall|should|may|not|no|any|if|is|are|be|this|that|these|those|such|retain|include|provide|"
+             "cause")
+
+
+def copyright_line(letter: str, digit: str) -> str:
+    """Expression of a line that states a copyright, with what may stand before the word."""
+    other, end = rf"[^{letter}{digit}\n]*", rf"(?![{letter}{digit}])"
+    return (rf"(^|\n){other}((\(c\){other})?copyright(?![{letter}])(?!\s+({SENTENCE}){end})|©|"
+            rf"\(c\)(?=[^\n]*(19|20)[0-9][0-9]|{other}[{digit}]|(?![^\n]*(?<![{letter}{digit}])({CONDITION}){end})))[^\n]*")
+
+
+COPYRIGHT_LINE = copyright_line(r"\p{L}", r"\p{N}")
+# The narrower rule of the DuckDB query, which states the same on the given tables.
+SQL_COPYRIGHT_LINE = r"(^|\n)[^\p{L}\p{N}\n]*(copyright|\(c\)|©)[ \t]*([0-9(©][^\n]*)"
 OTHER = r"[^\p{L}\p{N}]+"
-# Lines of more characters are not looked up as notices.
-LONGEST_NOTICE = 400
 
 
 def canonical(text: Column) -> Column:
@@ -33,7 +51,7 @@ def canonical(text: Column) -> Column:
 
 
 def canonical_sql(text: str) -> str:
-    out = f"trim(regexp_replace(regexp_replace(lower({text}), '{COPYRIGHT_LINE}', chr(10), 'g'), '{OTHER}', ' ', 'g'))"
+    out = f"trim(regexp_replace(regexp_replace(lower({text}), '{SQL_COPYRIGHT_LINE}', chr(10), 'g'), '{OTHER}', ' ', 'g'))"
     for spelling, usual in SPELLINGS:
         out = f"replace({out}, '{spelling}', '{usual}')"
     return out
@@ -43,7 +61,7 @@ def known_digests() -> dict[str, str]:
     """Digest of the canonical form of each known text, and its licence."""
     out = {}
     for license_id, text in TEXTS:
-        plain = re.sub(r"(^|\n)[^a-z0-9\n]*(copyright|\(c\))[ \t]*([0-9(][^\n]*)", "\n", text.lower())
+        plain = re.sub(copyright_line("a-z", "0-9"), "\n", text.lower())
         plain = re.sub(r"[^a-z0-9]+", " ", plain).strip()
         for spelling, usual in SPELLINGS:
             plain = plain.replace(spelling, usual)
@@ -71,7 +89,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.coalesce(F.col("text"), F.lit(""))
     names = F.create_map(*(F.lit(x) for entry in sorted(known_digests().items()) for x in entry))
     # Every known notice holds one of these words, in one of its spellings.
-    states = lambda line: (F.length(line) <= LONGEST_NOTICE) & line.rlike("(?i)licen[sc]e|permi")
+    states = lambda line: line.rlike("(?i)licen[sc]e|permi")
     stated = F.transform(F.filter(F.split(text, "\n"), states),
                          lambda line: F.try_element_at(names, F.sha2(canonical(line), 256)))
     rows = only(docs, doc_id=id_col, text=text_col).select(

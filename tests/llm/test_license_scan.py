@@ -33,6 +33,32 @@ def test_notices_stand_on_lines_of_their_own(spark):
         1: (None, "CC-BY-NC-4.0,MIT", 2), 2: (None, "", 0), 3: ("MIT", "MIT", 1), 4: (None, "", 0), 5: (None, "", 0)}
 
 
+def test_a_copyright_line_is_one_whatever_follows(spark):
+    whole = [(license_id, text) for license_id, text in TEXTS if len(text) >= 200]
+    lines = ["Copyright Jane Doe 2020", "Copyright The X Authors", "Copyright: 2020 X", "Copyright <year> <holder>", "© Jane Doe",
+             "Copyright (c) <copyright holders>", "// Copyright by Jane Doe", " * (c) The University of X", "(C) Copyright Émile",
+             "(c) 2020 This Is Not Inc.", "Copyright 2020, 2021 Jane Doe. All rights reserved."]
+    docs = [(100 * k + j, f"{line}\n{text}") for k, (_, text) in enumerate(whole) for j, line in enumerate(lines)]
+    expected = {100 * k + j: whole[k][0] for k in range(len(whole)) for j in range(len(lines))}
+    kept = ["Copyright notice", "copyright holders and you agree", "Copyright law applies", "copyrighted by X",
+            "(c) You must retain all notices", "  (c) any change is stated", "we hold the copyright 2020"]
+    docs += [(10_000 + j, f"{whole[0][1]}\n{line}") for j, line in enumerate(kept)]
+    expected |= {10_000 + j: None for j in range(len(kept))}
+    # Wrapped after each word in turn, a text keeps its digest.
+    words = whole[0][1].split()
+    docs += [(20_000 + j, " ".join(words[:j]) + "\n" + " ".join(words[j:])) for j in range(1, len(words))]
+    expected |= {20_000 + j: whole[0][0] for j in range(1, len(words))}
+    assert {d: found[0] for d, found in by_id(license_scan.scan(frame(spark, docs))).items()} == expected
+
+
+def test_a_line_is_looked_up_however_long(spark):
+    whole = [(license_id, " ".join(text.split())) for license_id, text in TEXTS]
+    docs = [(k, f"var a=1;\n/* {text} */\nvar b=2;") for k, (_, text) in enumerate(whole)]
+    docs.append((1000, "x\nReleased under the MIT License." + " " * 5000 + "\ny"))
+    found = by_id(license_scan.scan(frame(spark, docs)))
+    assert found == {k: (None, license_id, 1) for k, (license_id, _) in enumerate(whole)} | {1000: (None, "MIT", 1)}
+
+
 def test_odd_rows(spark):
     assert license_scan.scan(frame(spark)).count() == len(texts())
     assert license_scan.scan(frame(spark, [])).collect() == []
