@@ -270,9 +270,16 @@ def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str =
                text_col: str = "text") -> DataFrame:
     """One document of each near-duplicate component, with all columns of ``docs``: that with the smallest id.
 
-    Of several rows with that id one stays. Rows without an id all stay.
+    Rows with the same id are one document: of several with that id the one with the smallest text stays (null first), and
+    of equal texts that whose other columns are the smallest as JSON. Rows without an id all stay.
     """
     decided = near_duplicates(docs, size, percent, id_col, text_col)
-    kept = decided.where("kept and doc_id is not null").select(F.col("doc_id").alias(id_col)).distinct()
-    named = docs.where(F.col(f"`{id_col}`").isNotNull()).join(kept, id_col, "left_semi").dropDuplicates([id_col])
-    return named.unionByName(docs.where(F.col(f"`{id_col}`").isNull())).select(docs.columns)
+    kept = Scratch(docs.sparkSession, "near-dedup").keep("kept", decided.where("kept and doc_id is not null").groupBy(
+        F.col("doc_id").alias(id_col)).agg(F.count("*").alias("copies")))
+    once = docs.join(kept.where("copies = 1").select(id_col), id_col, "left_semi")
+    rest = F.to_json(F.struct(*(docs[f"`{c}`"] for c in docs.columns if c != text_col)))
+    order = F.struct(docs[f"`{text_col}`"], rest)
+    again = docs.join(kept.where("copies > 1").select(id_col), id_col, "left_semi").groupBy(
+        docs[f"`{id_col}`"].alias("id")).agg(
+        F.min_by(F.struct(*(docs[f"`{c}`"] for c in docs.columns)), order).alias("row")).select("row.*")
+    return once.select(docs.columns).unionByName(again).unionByName(docs.where(F.col(f"`{id_col}`").isNull()))

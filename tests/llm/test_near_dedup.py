@@ -108,6 +108,15 @@ def test_one_row_of_each_group_stays(spark):
     assert kept.schema.names == docs.schema.names
 
 
+def test_the_row_of_a_repeated_id_is_defined(spark):
+    rows = [(1, prose(k, 30)) for k in range(20)] + [(2, prose(30, 30)), (2, prose(30, 30)), (3, None), (3, "a b c")]
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        kept = near_dedup.near_dedup(frame(spark, rows).repartition(8, "text")).collect()
+        assert sorted((r.doc_id, r.text or "") for r in kept) == [
+            (1, min(prose(k, 30) for k in range(20))), (2, prose(30, 30)), (3, "")]
+
+
 def test_nothing(spark):
     assert near_dedup.near_duplicates(frame(spark, [])).collect() == []
     assert near_dedup.near_dedup(frame(spark, [])).collect() == []
