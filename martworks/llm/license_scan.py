@@ -37,7 +37,7 @@ def copyright_line(letter: str, digit: str) -> str:
 
 
 COPYRIGHT_LINE = copyright_line(r"\p{L}", r"\p{N}")
-# The narrower rule of the DuckDB query, which states the same on the given tables.
+# The narrower rule of the DuckDB query, which gives the same on the sf0.01 tables.
 SQL_COPYRIGHT_LINE = r"(^|\n)[^\p{L}\p{N}\n]*(copyright|\(c\)|©)[ \t]*([0-9(©][^\n]*)"
 OTHER = r"[^\p{L}\p{N}]+"
 
