@@ -16,8 +16,9 @@ def components(scratch: Scratch, links: DataFrame, name: str) -> DataFrame:
     by the grouping, and split by adaptive execution in the joins.
     """
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    edges = scratch.keep(f"{name}-edges", both.where("a <> b").distinct())
-    labels = scratch.keep(f"{name}-0", edges.groupBy(F.col("a").alias("node")).agg(
+    steps = scratch.within(f"{name}-steps")
+    edges = steps.keep("edges", both.where("a <> b").distinct())
+    labels = steps.keep("0", edges.groupBy(F.col("a").alias("node")).agg(
         F.least(F.min("b"), F.min("a")).alias("label")))
     total, turn = _total(labels), 0
     while total is not None:
@@ -26,13 +27,12 @@ def components(scratch: Scratch, links: DataFrame, name: str) -> DataFrame:
                 .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("least")))
         step = labels.join(near, "node").select("node", F.least("label", "least").alias("label"))
         target = step.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        jumped = scratch.keep(f"{name}-{turn}", step.join(target, "label").select("node", F.col("next").alias("label")))
-        before, total = total, _total(jumped)
-        scratch.drop(labels)
-        labels = jumped
+        labels = steps.keep(f"{turn}", step.join(target, "label").select("node", F.col("next").alias("label")))
+        before, total = total, _total(labels)
         if total == before:
             break
-    scratch.drop(edges)
+    labels = scratch.keep(name, labels)
+    steps.clear()
     return labels
 
 

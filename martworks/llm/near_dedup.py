@@ -7,9 +7,10 @@ is the smallest value. Four coordinates make a band; documents with an equal ban
 1. Documents with the same set are one class from the start; only its smallest id goes on.
 2. In each bucket all members are compared with one centre, the member that meets most others over all its bands. A
    bucket of m documents gives m - 1 pairs, not m * m. Each distinct pair is verified on the full sets.
-3. Buckets whose members are all connected by now are done. In the others every pair of members that are not connected
-   is verified too, in square blocks of a bounded number of documents: blocks are spread over tasks, and only links come
-   out of them. So no candidate is given up, whatever the size of a bucket.
+3. Buckets whose members are all connected by now are done. Members of the others go through an exact filter: a linked
+   pair shares a shingle among the rarest of both, so pairs come from those shingles and not from the bucket, which may
+   hold a hot passage (:func:`martworks.llm.ngram_join.connected`, by rounds of centres). No candidate is given up,
+   whatever the size of a bucket, and no step joins the members of a bucket with each other.
 4. Connected components of all links give each document the smallest id it is connected with.
 
 Pairs at the bound of 0.8 share no band of 32 with a chance of (1 - 0.8**4)**32, less than 1 in 10 million.
@@ -22,43 +23,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martworks.llm import ngram_join
 from martworks.llm.components import components
+from martworks.llm.linking import close_in_size, shingle_sets, texts_of, verified
 from martworks.llm.scratch import Scratch, only
-from martworks.llm.words import Texts, mix, starts_of_windows, window_hashes, word_hashes, words_of
+from martworks.llm.words import Texts, mix
 
 COORDINATES, ROWS = 128, 4
-# Documents of a side of a block of step 3, and rows of buckets of a single block that one call handles about.
-BLOCK, BUNDLE = 128, 1500
-# Ids up to this number (8 bytes each) are broadcast to choose the texts to verify; more are joined by a shuffle.
-BROADCAST_IDS = 4_000_000
-
-
-def shingle_sets(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct 64-bit shingles of each text after the other, and where each text's begin (one entry more).
-
-    A text of fewer than ``size`` words is one shingle of all its words; a text without words has none.
-    """
-    texts = texts.lower_ascii()
-    words = words_of(texts)
-    hashes = word_hashes(texts, words)
-    counts = words.counts
-    starts = starts_of_windows(words, size)
-    windows = window_hashes(hashes, size)[starts] if len(starts) else np.zeros(0, np.uint64)
-    first = np.concatenate([[0], np.cumsum(np.maximum(counts - size + 1, 0))])
-    sets = []
-    for k, n in enumerate(counts.tolist()):
-        if n >= size:
-            sets.append(np.unique(windows[first[k]: first[k + 1]]))
-        elif n:
-            own = hashes[words.first[k]: words.first[k + 1]]
-            sets.append(mix(window_hashes(own, n) + np.uint64(n)))
-        else:
-            sets.append(windows[:0])
-    at = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64)
-    return (np.concatenate(sets) if sets else windows), at
 
 
 _U = np.uint32
@@ -111,79 +85,6 @@ def _sketch(size: int, coordinates: int, rows: int):
     return run
 
 
-def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-        return False
-    both = np.concatenate([a, b])
-    both.sort()
-    common = int(np.count_nonzero(both[1:] == both[:-1]))
-    return 100 * common >= percent * (len(a) + len(b) - common)
-
-
-def _verify(size: int, percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, at = shingle_sets(Texts.of(batch.column("text_a")), size)
-            right, to = shingle_sets(Texts.of(batch.column("text_b")), size)
-            good = [_similar(left[at[k]: at[k + 1]], right[to[k]: to[k + 1]], percent) for k in range(len(at) - 1)]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return run
-
-
-def _compare_blocks(size: int, percent: int):
-    """Links between members of a bundle's blocks that are not connected yet."""
-
-    def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        shingles, at = shingle_sets(Texts.of(table["text"]), size)
-        rep, comp, key, centre = (table[c].to_numpy() for c in ("rep", "comp", "key", "centre"))
-        rest, minor = (table[c].to_numpy(zero_copy_only=False) for c in ("rest", "minor"))
-        bands = table["bands"].combine_chunks().flatten().to_numpy()
-        bands = bands.reshape(len(rep), len(bands) // max(len(rep), 1))
-        blocks: dict = {}
-        for row, block in enumerate(zip(key.tolist(), table["u"].to_pylist(), table["v"].to_pylist(), strict=True)):
-            blocks.setdefault(block, ([], []))[int(rest[row])].append(row)
-        links, root = [], {}
-
-        def find(x):
-            while root.get(x, x) != x:
-                root[x] = x = root.get(root[x], root[x])
-            return x
-
-        for (own_key, _, _), (others, few) in blocks.items():
-            others = np.array(others, np.int64)
-            if not len(others):
-                continue
-            n_others = np.diff(at)[others]
-            for u in few:
-                n = at[u + 1] - at[u]
-                same = bands[others] == bands[u]
-                first = bands[u][np.argmax(same, axis=1)] == own_key  # a pair is met in its first common band only
-                ok = (first & (comp[others] != comp[u]) & (rep[others] != centre[u]) & (rep[u] != centre[u])
-                      & ~(minor[others] & (rep[others] <= rep[u]))
-                      & (100 * np.minimum(n_others, n) >= percent * np.maximum(n_others, n)))
-                for v in others[ok].tolist():
-                    x, y = find(int(comp[u])), find(int(comp[v]))
-                    if x != y and _similar(shingles[at[u]: at[u + 1]], shingles[at[v]: at[v + 1]], percent):
-                        root[max(x, y)] = min(x, y)
-                        links.append((int(comp[u]), int(comp[v])))
-        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()),
-                         "b": pa.array([y for _, y in links], pa.int64())})
-
-    return run
-
-
-def _texts_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose ``doc_id`` is in ``ids`` (``doc_id``)."""
-    few = ids.count() <= BROADCAST_IDS
-    return rows.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-
-
-def _close_in_size(x: Column, y: Column, percent: int) -> Column:
-    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
-
-
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
                     coordinates: int = COORDINATES, rows: int = ROWS) -> DataFrame:
     """The near-duplicate component of each document.
@@ -209,16 +110,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         F.max_by(F.struct("rep", "n"), F.struct("meets", -F.col("rep"))).alias("c"))
         .select("key", F.col("c.rep").alias("centre"), F.col("c.n").alias("n_centre")))
     stars = (members.join(centres, "key").where(F.col("rep") != F.col("centre"))
-             .where(_close_in_size(F.col("n"), F.col("n_centre"), percent))
-             .select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct())
-    links = scratch.keep("links", _verified(scratch, known, stars, size, percent))
+             .where(close_in_size(F.col("n"), F.col("n_centre"), percent))
+             .select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct())
+    links = verified(scratch, known, stars, size, percent, "stars")
     first = components(scratch, links, "first")
-
-    more = scratch.keep("more", _between_components(scratch, known, members, centres, classes, first, size, percent))
-    second = components(scratch, more, "second")
-    labels = (first.join(second.select(F.col("node").alias("label"), F.col("label").alias("last")), "label", "left")
-              .select("node", F.coalesce("last", "label").alias("label"))
-              .unionByName(second.join(first.select("node"), "node", "left_anti")))
+    open_ids = _unsettled(scratch, members, first)
+    rest = texts_of(known, open_ids)
+    _, sets = ngram_join.sketches(scratch, rest, size, percent, "rest")
+    labels = ngram_join.connected(scratch, sets, rest, size, percent, "round", first)
+    scratch.drop(members, centres, links, sets)
     found = classes.select("digest", "rep").join(labels, F.col("rep") == F.col("node"), "left").select(
         "digest", F.coalesce("label", "rep").alias("label"))
     out = sketches.select("doc_id", "n", "digest").join(found, "digest", "left")
@@ -227,43 +127,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _verified(scratch: Scratch, known: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    pairs = scratch.keep("pairs", pairs)
-    ids = scratch.keep("pair-ids", pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    texts = _texts_of(known, ids)
-    return (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-            .select("a", "b", "text_a", "text_b").mapInArrow(_verify(size, percent), "a long, b long"))
-
-
-def _between_components(scratch: Scratch, known: DataFrame, members: DataFrame, centres: DataFrame, classes: DataFrame,
-                        labels: DataFrame, size: int, percent: int) -> DataFrame:
-    """Step 3: links between components that share a bucket, as pairs of component labels."""
+def _unsettled(scratch: Scratch, members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id`` of the members of buckets of more than two whose members are not all connected by the centre."""
     placed = members.where("size > 2").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", "size", F.coalesce("label", "rep").alias("comp"))
-    parts = placed.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    unsettled = parts.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"),
-                                         F.sum("n").alias("all"), F.max("n").alias("most")).where("all > most")
-    rows = scratch.keep("unsettled", placed.join(unsettled, "key").join(centres, "key").select(
-        "key", "rep", "comp", "centre", (F.col("comp") != F.col("main")).alias("minor"),
-        F.ceil(F.col("all") / BLOCK).alias("vs"), F.ceil((F.col("all") - F.col("most")) / BLOCK).alias("us")))
-    ids = scratch.keep("unsettled-ids", rows.select(F.col("rep").alias("doc_id")).distinct())
-    texts = _texts_of(known, ids).withColumnRenamed("doc_id", "rep")
-    bands = _texts_of(classes.select(F.col("rep").alias("doc_id"), "bands"), ids).withColumnRenamed("doc_id", "rep")
-    one = F.sequence(F.lit(0), F.col("us") - 1)
-    other = F.sequence(F.lit(0), F.col("vs") - 1)
-    nth = lambda n: F.pmod(F.xxhash64("rep"), n)
-    sides = (rows.withColumn("rest", F.lit(False)).withColumn("v", nth(F.col("vs"))).withColumn("u", F.explode(one))
-             .unionByName(rows.where("minor").withColumn("rest", F.lit(True)).withColumn("u", nth(F.col("us")))
-                          .withColumn("v", F.explode(other))))
-    # A bucket of several blocks gives a call for each block, so that no call grows with it; smaller ones share calls.
-    small = F.col("vs") == 1
-    shared = rows.where(small).agg(F.sum(1 + F.col("minor").cast("long"))).first()[0] or 0
-    bundle = F.when(small, F.pmod(F.xxhash64("key"), F.lit(max(1, -(-shared // BUNDLE))))).otherwise(
-        F.xxhash64("key", "u", "v"))
-    full = (sides.withColumn("bundle", bundle).join(bands, "rep").join(texts, "rep")
-            .select("bundle", "key", "u", "v", "rest", "minor", "rep", "comp", "centre", "bands", "text"))
-    return full.groupBy("bundle").applyInArrow(_compare_blocks(size, percent), "a long, b long")
+        "key", "rep", F.coalesce("label", "rep").alias("comp"))
+    some = placed.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most")
+    return scratch.keep("unsettled", placed.join(some.select("key"), "key", "left_semi").select(
+        F.col("rep").alias("doc_id")).distinct())
 
 
 def near_dedup(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",

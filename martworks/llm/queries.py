@@ -12,6 +12,7 @@ from martworks.llm import (
     decontaminate,
     license_scan,
     near_dedup,
+    ngram_join,
     packing,
     quality_rules,
     secrets,
@@ -57,6 +58,11 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
 
 
+@query
+def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 @query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents"))

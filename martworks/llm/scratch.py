@@ -1,8 +1,8 @@
 """Intermediate tables in the folder that the cluster shares.
 
 A step that several later steps read is written once as Parquet and reread, so that a lost executor costs its own tasks
-only and no step is computed twice. Tables that nothing reads any more are emptied by ``drop``; those that a returned
-frame still reads stay until the folder is cleared.
+only and no step is computed twice. Tables that nothing reads any more are emptied by ``drop``, or all tables of a part of
+the work together by ``clear``; those that a returned frame still reads stay until the folder is cleared.
 """
 
 from __future__ import annotations
@@ -33,6 +33,16 @@ class Scratch:
         self.base = scratch_dir(spark, purpose)
         self.frames: dict[str, DataFrame] = {}
 
+    def within(self, name: str) -> Scratch:
+        """A folder below this one, for tables that are cleared together."""
+        part = Scratch.__new__(Scratch)
+        part.spark, part.base, part.frames = self.spark, f"{self.base}/{name}", {}
+        return part
+
+    def clear(self) -> None:
+        self.spark.range(0).write.mode("overwrite").parquet(self.base)
+        self.frames = {}
+
     def keep(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.base}/{name}"
         df.write.mode("overwrite").parquet(path)

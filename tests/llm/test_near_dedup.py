@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from oddities import frame, prose, texts, words
 
-from martworks.llm import near_dedup
+from martworks.llm import linking, near_dedup, ngram_join
 from martworks.llm.components import components
 from martworks.llm.queries import QUERIES
 from martworks.llm.scratch import Scratch
@@ -62,10 +62,10 @@ def component_rows(df):
     return {r.doc_id: r.component_id for r in df.collect() if r.doc_id is not None}
 
 
-@pytest.mark.parametrize("block", [128, 8])
-def test_components_equal_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(near_dedup, "BLOCK", block)
-    monkeypatch.setattr(near_dedup, "BUNDLE", 40)
+@pytest.mark.parametrize("easy", [32, 0])
+def test_components_equal_brute_force(spark, monkeypatch, easy):
+    monkeypatch.setattr(ngram_join, "EASY", easy)  # 0: rounds of centres to the end
+    monkeypatch.setattr(linking, "PER_CENTRE", 7)
     docs = [d for d in texts() if d[0] is not None] + chains()
     found = near_dedup.near_duplicates(frame(spark, docs + [(None, "x y z"), (None, None)]), size=2)
     expected = brute(docs, 2)
@@ -78,24 +78,33 @@ def test_components_equal_brute_force(spark, monkeypatch, block):
     assert all(r.n_shingles in {len(s) for s in sets[r.doc_id]} for r in rows if r.doc_id is not None)
 
 
-def test_no_call_grows_with_a_bucket(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "BLOCK", 16)
-    monkeypatch.setattr(near_dedup, "BUNDLE", 40)
-    monkeypatch.setattr(near_dedup, "_compare_blocks", lambda size, percent: lambda table: pa.table(
-        {"a": pa.array([table.num_rows], pa.int64()), "b": pa.array([0], pa.int64())}))
-    # One bucket of 800 documents and 100 buckets of 3, in each of which half of the documents or one is linked to nothing.
-    rows = [(7, d, 800) for d in range(800)] + [(100 + d // 3, 1000 + d, 3) for d in range(300)]
-    members = spark.createDataFrame([(key, d, 9, size) for key, d, size in rows], "key long, rep long, n long, size long")
-    labels = spark.createDataFrame([(d, 0 if d < 800 else 1000 + (d - 1000) // 3 * 3) for _, d, _ in rows
-                                    if d < 400 or d >= 1000 and d % 3 != 0], "node long, label long")
-    centres = members.groupBy("key").agg({"rep": "min"}).toDF("key", "centre").selectExpr("key", "centre", "9L as n_centre")
-    classes = spark.createDataFrame([(d, [key]) for key, d, _ in rows], "rep long, bands array<long>")
-    known = spark.createDataFrame([(d, f"text {d}") for _, d, _ in rows], "doc_id long, text string")
-    calls = near_dedup._between_components(Scratch(spark, "calls"), known, members, centres, classes, labels, 2, 80)
-    sizes = [r.a for r in calls.collect()]
-    assert sum(sizes) >= 800 * 25 + 400 * 50 + 300  # 25 blocks of unlinked documents by 50 of all, and the small buckets
-    assert max(sizes) <= 5 * 2 * 16  # a few blocks
-    assert len(sizes) <= 25 * 50 + 20  # small buckets share calls
+def test_a_large_bucket_without_links_costs_in_proportion(spark, monkeypatch):
+    # 3,000 documents that share a passage, so that they meet in buckets, and are otherwise different: none is linked.
+    passage = prose(77, 12, 10_000)
+    docs = [(k, f"{passage} {prose(9000 + k, 14, 10_000)}") for k in range(3000)]
+    verified, compared = linking.verified, []
+
+    def counted(scratch, known, pairs, *rest):
+        pairs = pairs.cache()
+        compared.append(pairs.count())
+        return verified(scratch, known, pairs, *rest)
+
+    monkeypatch.setattr(near_dedup, "verified", counted)
+    monkeypatch.setattr(ngram_join, "verified", counted)
+    found = near_dedup.near_duplicates(frame(spark, docs), size=2)
+    assert all(r.kept for r in found.collect())
+    assert compared[0] > 1000  # buckets are crowded, and their centres meet the members
+    assert sum(compared[1:]) < 3000  # no pairs within buckets
+
+
+def test_a_centre_is_sent_once_for_many_members(spark, monkeypatch):
+    monkeypatch.setattr(linking, "PER_CENTRE", 50)
+    text = prose(60, 80, 10_000)
+    known = frame(spark, [(k, text if k % 2 else prose(k, 80)) for k in range(400)]).select("doc_id", "text")
+    pairs = spark.createDataFrame([(1, k) for k in range(400) if k != 1], "a long, b long")
+    links = linking.verified(Scratch(spark, "centre"), known, pairs, 2, 80, "t")
+    assert sorted(r.b for r in links.collect()) == [k for k in range(3, 400, 2)]
+    assert {r.a for r in links.collect()} == {1}
 
 
 def test_one_row_of_each_group_stays(spark):
@@ -124,7 +133,7 @@ def test_nothing(spark):
 
 def test_signatures_estimate_similarity():
     a, b = prose(1, 900, 10_000), edited(prose(1, 900, 10_000), 3, 0.05)
-    shingles, at = near_dedup.shingle_sets(Texts.of(pa.array([a, b])), 2)
+    shingles, at = linking.shingle_sets(Texts.of(pa.array([a, b])), 2)
     s = near_dedup.signatures(shingles, at, 1024)
     x, y = set(shingles[:at[1]].tolist()), set(shingles[at[1]:].tolist())
     assert abs(np.mean(s[0] == s[1]) - len(x & y) / len(x | y)) < 0.06
