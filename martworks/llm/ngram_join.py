@@ -8,11 +8,13 @@ shuffle each class in their own way.
 1. One pass over all documents counts shingles in a fixed number of cells (by hash), which rank the shingles. An order
    needs no exact counts: any total order is lossless. A second pass writes the prefixes of each set under each order.
 2. Documents with the same set are one class; only its smallest id goes on.
-3. Buckets are the shingles of the first order's prefixes. The pairs of a bucket are filtered by the other orders and
-   confirmed on the full sets. :func:`similar_pairs` does so with every pair and returns every link.
+3. Buckets are the shingles of the first order's prefixes. A pair of a bucket whose sets surely differ in too many
+   shingles is none: each set has 512 bits, of which every shingle flips one, and two sets differ in at least as many
+   shingles as bits. The other pairs are filtered by the further orders and confirmed on the full sets.
+   :func:`similar_pairs` does so with every pair and returns every link.
 4. :func:`ngram_join` asks for components only and goes by rounds: in the first each bucket has one centre that all others
    are compared with. Then buckets whose members are connected are done. A bucket with few unconnected pairs (at most
-   ``EASY`` for each member) gives these; in others four times as many centres as before are compared with all members
+   ``EASY`` for each member) gives these; in others 16 times as many centres as before are compared with all members
    of other components, and leave the bucket. So a group of linked copies costs a row for each member and centre, and
    only documents that share rare shingles under all orders and are still not linked are compared pair by pair.
 """
@@ -21,11 +23,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martworks.llm.components import components
@@ -38,7 +42,9 @@ CELL_BITS = 18
 # Classes of document frequency for each doubling, by order.
 ORDERS = (4.0, 1.0, 0.25)
 # Pairs for each member of a bucket that are confirmed without another round of centres.
-EASY = 32
+EASY, MORE_CENTRES = 128, 16
+# 64-bit words of flipped bits of each set.
+WORDS = 8
 # Tables of counts that one call adds up.
 FAN_IN = 64
 _PARTS = 64
@@ -100,6 +106,14 @@ def prefixes(shingles: np.ndarray, at: np.ndarray, percent: int, classes: np.nda
     return out
 
 
+def flipped_bits(shingles: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A row of ``WORDS`` 64-bit words for each set, in which every shingle flips one bit."""
+    n = len(at) - 1
+    bit = (mix(shingles ^ np.uint64(0xA5A5A5A5A5A5A5A5)) % np.uint64(64 * WORDS)).astype(np.int64)
+    own = np.bincount(np.repeat(np.arange(n), np.diff(at)) * (64 * WORDS) + bit, minlength=n * 64 * WORDS) & 1
+    return np.packbits(own.astype(np.uint8).reshape(n, 64 * WORDS), axis=1).view(np.int64)
+
+
 def _lists(sets: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
     values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
@@ -113,14 +127,17 @@ def _sketch(size: int, percent: int, classes: np.ndarray):
             digests = [hashlib.blake2b(shingles[a:b].tobytes(), digest_size=16).digest() if b > a else None
                        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             lists = [_lists(sets) for sets in prefixes(shingles, at, percent, classes)]
+            bits = flipped_bits(shingles, at)
             yield pa.record_batch([batch.column("doc_id"), pa.array(np.diff(at), pa.int64()), pa.array(digests, pa.binary()),
-                                   *lists], ["doc_id", "n", "digest", *_NAMES])
+                                   *lists, *(pa.array(bits[:, k]) for k in range(WORDS))],
+                                  ["doc_id", "n", "digest", *_NAMES, *_BITS])
 
     return run
 
 
 _NAMES = [f"order{k}" for k in range(len(ORDERS))]
-_SCHEMA = "doc_id long, n long, digest binary, " + ", ".join(f"{n} array<long>" for n in _NAMES)
+_BITS = [f"bits{k}" for k in range(WORDS)]
+_SCHEMA = ", ".join(["doc_id long, n long, digest binary", *(f"{n} array<long>" for n in _NAMES), *(f"{b} long" for b in _BITS)])
 
 
 def sketches(scratch: Scratch, rows: DataFrame, size: int, percent: int, name: str) -> tuple[DataFrame, DataFrame]:
@@ -128,15 +145,25 @@ def sketches(scratch: Scratch, rows: DataFrame, size: int, percent: int, name: s
     classes = classes_of_cells(scratch, rows, size, name)
     own = scratch.keep(f"{name}-sketches", rows.mapInArrow(_sketch(size, percent, classes), _SCHEMA))
     sets = scratch.keep(f"{name}-sets", own.where("doc_id is not null and n > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("n", *_NAMES))))
+        F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("n", *_NAMES, *_BITS))))
     return own.select("doc_id", "n", "digest"), sets
 
 
+_MEMBER = ["rep", "n", *_BITS]
+
+
 def _buckets(sets: DataFrame) -> DataFrame:
-    """``key, rep, n, size``: sets by the shingles of their first prefix, where more than one set has it."""
-    keys = sets.select("rep", "n", F.explode("order0").alias("key"))
+    """``key, rep, n`` and bits: sets by the shingles of their first prefix, where more than one set has it."""
+    keys = sets.select(F.explode("order0").alias("key"), *_MEMBER)
     shared = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    return keys.join(shared, "key")
+    return keys.join(shared.select("key"), "key")
+
+
+def _may_link(x: str, y: str, percent: int) -> Column:
+    """Lossless: sets of a similarity in per cent differ in at most (100 - percent) / (100 + percent) of both sizes."""
+    n = F.col(f"{x}.n") + F.col(f"{y}.n")
+    differ = reduce(add, (F.bit_count(F.col(f"{x}.{b}").bitwiseXOR(F.col(f"{y}.{b}"))) for b in _BITS))
+    return close_in_size(F.col(f"{x}.n"), F.col(f"{y}.n"), percent) & (differ * (100 + percent) <= (100 - percent) * n)
 
 
 def _filtered(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -152,7 +179,7 @@ def _filtered(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _bucket_pairs(members: DataFrame, percent: int, *also) -> DataFrame:
     x, y = members.alias("x"), members.alias("y")
     return x.join(y, [F.col("x.key") == F.col("y.key"), F.col("x.rep") < F.col("y.rep"),
-                      close_in_size(F.col("x.n"), F.col("y.n"), percent), *also]).select(
+                      _may_link("x", "y", percent), *also]).select(
         F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
 
 
@@ -177,15 +204,15 @@ def connected(scratch: Scratch, sets: DataFrame, known: DataFrame, size: int, pe
     members, turn, centres = step.keep("members", _buckets(sets)), 0, 1
     while True:
         before, step = step, scratch.within(f"{name}-{turn}")
-        placed = members.select("key", "rep", "n", F.col("rep").alias("comp"))
+        placed = members.withColumn("comp", F.col("rep"))
         if labels is not None:
             placed = members.join(labels, F.col("rep") == F.col("node"), "left").select(
-                "key", "rep", "n", F.coalesce("label", "rep").alias("comp"))
+                "key", *_MEMBER, F.coalesce("label", "rep").alias("comp"))
         parts = placed.groupBy("key", "comp").agg(F.count("*").cast("double").alias("part"))
         unsettled = parts.groupBy("key").agg(F.sum("part").alias("size"), F.sum(F.col("part") * F.col("part")).alias("squares"))
         unsettled = unsettled.withColumn("cross", (F.col("size") * F.col("size") - F.col("squares")) / 2).where("cross > 0")
         rows = step.keep("unsettled", placed.join(unsettled, "key").select(
-            "key", "rep", "n", "comp", "size", (F.lit(turn > 0) & (F.col("cross") <= EASY * F.col("size"))).alias("easy")))
+            "key", *_MEMBER, "comp", "size", (F.lit(turn > 0) & (F.col("cross") <= EASY * F.col("size"))).alias("easy")))
         easy_rows, hard_rows = rows.agg(F.count_if("easy"), F.count_if(~F.col("easy"))).first()
         pairs = []
         if easy_rows:
@@ -195,17 +222,18 @@ def connected(scratch: Scratch, sets: DataFrame, known: DataFrame, size: int, pe
             chosen = step.keep("centres", _centres(hard, turn, centres))
             pairs.append(hard.alias("x").join(chosen.alias("c"), [
                 F.col("x.key") == F.col("c.key"), F.col("x.comp") != F.col("c.comp"), F.col("x.rep") != F.col("c.rep"),
-                close_in_size(F.col("x.n"), F.col("c.n"), percent)]).select(F.col("c.rep").alias("a"), F.col("x.rep").alias("b")))
-            members = step.keep("members", hard.join(chosen, ["key", "rep"], "left_anti").select("key", "rep", "n"))
+                _may_link("x", "c", percent)]).select(F.col("c.rep").alias("a"), F.col("x.rep").alias("b")))
+            members = step.keep("members", hard.join(chosen, ["key", "rep"], "left_anti").select("key", *_MEMBER))
         if pairs:
             every = pairs[0] if len(pairs) == 1 else pairs[0].unionByName(pairs[1])
             labels = _merged(step, labels, verified(step, known, _filtered(every.distinct(), sets), size, percent, "links"))
-        before.clear()
         if not hard_rows:
             labels = scratch.keep(f"{name}-labels", labels if labels is not None else _no_labels(scratch))
+            before.clear()
             step.clear()
             return labels
-        turn, centres = turn + 1, centres * 4
+        before.clear()
+        turn, centres = turn + 1, centres * MORE_CENTRES
 
 
 def _no_labels(scratch: Scratch) -> DataFrame:
@@ -214,14 +242,14 @@ def _no_labels(scratch: Scratch) -> DataFrame:
 
 def _centres(rows: DataFrame, turn: int, centres: int) -> DataFrame:
     """About so many members of each bucket, one at least: first that which meets most others over all its buckets."""
+    member = F.struct(*_MEMBER, "comp")
     if turn == 0:
         meets = rows.groupBy("rep").agg(F.sum("size").alias("meets"))
         order = F.struct("meets", -F.col("rep"))
-        return rows.join(meets, "rep").groupBy("key").agg(F.max_by(F.struct("rep", "n", "comp"), order).alias("c")).select(
-            "key", "c.*")
+        return rows.join(meets, "rep").groupBy("key").agg(F.max_by(member, order).alias("c")).select("key", "c.*")
     hashed = rows.withColumn("h", F.xxhash64("rep", "key", F.lit(turn)))
-    one = hashed.groupBy("key").agg(F.min_by(F.struct("rep", "n", "comp"), F.struct("h", "rep")).alias("c")).select("key", "c.*")
-    some = hashed.where(F.pmod("h", F.col("size").cast("long")) < centres).select("key", "rep", "n", "comp")
+    one = hashed.groupBy("key").agg(F.min_by(member, F.struct("h", "rep")).alias("c")).select("key", "c.*")
+    some = hashed.where(F.pmod("h", F.col("size").cast("long")) < centres).select("key", *_MEMBER, "comp")
     return one.unionByName(some).distinct()
 
 

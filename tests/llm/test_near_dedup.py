@@ -62,7 +62,7 @@ def component_rows(df):
     return {r.doc_id: r.component_id for r in df.collect() if r.doc_id is not None}
 
 
-@pytest.mark.parametrize("easy", [32, 0])
+@pytest.mark.parametrize("easy", [ngram_join.EASY, 0])
 def test_components_equal_brute_force(spark, monkeypatch, easy):
     monkeypatch.setattr(ngram_join, "EASY", easy)  # 0: rounds of centres to the end
     monkeypatch.setattr(linking, "PER_CENTRE", 7)

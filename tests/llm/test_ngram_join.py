@@ -16,7 +16,7 @@ def template(n):
     return [(5000 + k, edited(base, 700 + k, 0.005 + 0.002 * (k % 15))) for k in range(n)]
 
 
-@pytest.mark.parametrize("easy", [32, 0])
+@pytest.mark.parametrize("easy", [ngram_join.EASY, 0])
 def test_components_equal_brute_force(spark, monkeypatch, easy):
     monkeypatch.setattr(ngram_join, "EASY", easy)  # 0: rounds of centres to the end
     docs = [d for d in texts() if d[0] is not None] + chains() + template(120)
@@ -59,6 +59,17 @@ def test_linked_sets_share_a_prefix_shingle_in_every_order():
                 assert all(set(a.tolist()) & set(b.tolist()) for a, b in own)
 
 
+def test_bits_never_differ_more_than_sets():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 5, 300, 5000):
+        x = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        y = np.unique(np.concatenate([x[n // 3:], rng.integers(0, 2**63, n // 4).astype(np.uint64)]))
+        a, b = ngram_join.flipped_bits(np.concatenate([x, y]), np.array([0, len(x), len(x) + len(y)]))
+        differ = sum(int(v).bit_count() for v in (a ^ b).view(np.uint64))
+        assert differ <= len(np.setxor1d(x, y))
+        assert n < 300 or differ > 100
+
+
 def test_counts_of_cells_add_up_over_tasks(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "FAN_IN", 3)
     docs = frame(spark, [(k, f"same words here {k % 50} x{k}") for k in range(300)])
