@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martworks.llm import (
+    centroid_clusters,
     chat_format,
     decontaminate,
     license_scan,
@@ -19,6 +20,7 @@ from martworks.llm import (
     substring_dedup,
     token_counts,
     toxicity,
+    whitening,
 )
 from martworks.llm.scratch import tuned
 
@@ -63,6 +65,16 @@ def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+@query
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters.clusters(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64)[0]
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
+
+
 @query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents"))
