@@ -32,8 +32,8 @@ def rows_of(values: np.ndarray) -> pa.Array:
 def summed(parts: DataFrame, column: str, kind: str) -> list:
     """Sum of equally long lists, entry by entry: what comes to the driver is one list, however many rows there are."""
     out = parts.where(F.col(column).isNotNull()).select(F.posexplode(column).alias("k", "v")).groupBy("k").agg(
-        F.sum(F.col("v").cast(kind)).alias("v")).orderBy("k").collect()
-    return [r.v for r in out]
+        F.sum(F.col("v").cast(kind)).alias("v")).collect()
+    return [r.v for r in sorted(out, key=lambda r: r.k)]
 
 
 def task_sum(add) -> callable:
