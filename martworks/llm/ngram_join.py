@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martworks.llm.components import components
-from martworks.llm.linking import close_in_size, shingle_sets, verified
+from martworks.llm.linking import close_in_size, shingle_sets, texts_of, verified
 from martworks.llm.scratch import Scratch, only
 from martworks.llm.words import Texts, mix
 
@@ -149,14 +149,10 @@ def sketches(scratch: Scratch, rows: DataFrame, size: int, percent: int, name: s
     return own.select("doc_id", "n", "digest"), sets
 
 
-_MEMBER = ["rep", "n", *_BITS]
-
-
 def _buckets(sets: DataFrame) -> DataFrame:
-    """``key, rep, n`` and bits: sets by the shingles of their first prefix, where more than one set has it."""
-    keys = sets.select(F.explode("order0").alias("key"), *_MEMBER)
-    shared = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    return keys.join(shared.select("key"), "key")
+    """``key, rep, n, size``: sets by the shingles of their first prefix, where more than one set has it."""
+    keys = sets.select(F.explode("order0").alias("key"), "rep", "n")
+    return keys.join(keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "key")
 
 
 def _may_link(x: str, y: str, percent: int) -> Column:
@@ -166,21 +162,25 @@ def _may_link(x: str, y: str, percent: int) -> Column:
     return close_in_size(F.col(f"{x}.n"), F.col(f"{y}.n"), percent) & (differ * (100 + percent) <= (100 - percent) * n)
 
 
-def _filtered(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` that share a prefix shingle under each further order too."""
-    side = lambda x: sets.select(F.col("rep").alias(x), *(F.col(n).alias(f"{x}_{n}") for n in _NAMES[1:]))
-    shared = [F.arrays_overlap(f"a_{n}", f"b_{n}") for n in _NAMES[1:]]
-    out = pairs.join(side("a"), "a").join(side("b"), "b")
-    for s in shared:
-        out = out.where(s)
+def _filtered(scratch: Scratch, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` that may be linked by size and bits, and share a prefix shingle under each further order too.
+
+    Only the sets that occur in a pair are shuffled.
+    """
+    pairs = scratch.keep("met", pairs.distinct())
+    ids = scratch.keep("met-ids", pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    own = texts_of(sets.withColumnRenamed("rep", "doc_id"), ids)
+    side = lambda x: own.select(F.col("doc_id").alias(x), F.struct("n", *_BITS, *_NAMES[1:]).alias(f"of_{x}"))
+    out = pairs.join(side("a"), "a").join(side("b"), "b").where(_may_link("of_a", "of_b", percent))
+    for name in _NAMES[1:]:
+        out = out.where(F.arrays_overlap(f"of_a.{name}", f"of_b.{name}"))
     return out.select("a", "b").distinct()
 
 
-def _bucket_pairs(members: DataFrame, percent: int, *also) -> DataFrame:
+def _bucket_pairs(members: DataFrame, *also) -> DataFrame:
     x, y = members.alias("x"), members.alias("y")
-    return x.join(y, [F.col("x.key") == F.col("y.key"), F.col("x.rep") < F.col("y.rep"),
-                      _may_link("x", "y", percent), *also]).select(
-        F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    return x.join(y, [F.col("x.key") == F.col("y.key"), F.col("x.rep") < F.col("y.rep"), *also]).select(
+        F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
 
 
 def _merged(scratch: Scratch, labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -202,38 +202,52 @@ def connected(scratch: Scratch, sets: DataFrame, known: DataFrame, size: int, pe
     """``node, label`` of all linked ``sets``, going on from ``labels``: the rounds of step 4."""
     step = scratch.within(f"{name}-start")
     members, turn, centres = step.keep("members", _buckets(sets)), 0, 1
+    bits = sets.select("rep", *_BITS)
     while True:
         before, step = step, scratch.within(f"{name}-{turn}")
-        placed = members.withColumn("comp", F.col("rep"))
-        if labels is not None:
-            placed = members.join(labels, F.col("rep") == F.col("node"), "left").select(
-                "key", *_MEMBER, F.coalesce("label", "rep").alias("comp"))
-        parts = placed.groupBy("key", "comp").agg(F.count("*").cast("double").alias("part"))
-        unsettled = parts.groupBy("key").agg(F.sum("part").alias("size"), F.sum(F.col("part") * F.col("part")).alias("squares"))
-        unsettled = unsettled.withColumn("cross", (F.col("size") * F.col("size") - F.col("squares")) / 2).where("cross > 0")
-        rows = step.keep("unsettled", placed.join(unsettled, "key").select(
-            "key", *_MEMBER, "comp", "size", (F.lit(turn > 0) & (F.col("cross") <= EASY * F.col("size"))).alias("easy")))
+        if labels is None:  # nothing is connected yet
+            rows = members.select("key", "rep", "n", F.col("rep").alias("comp"), "size", F.lit(False).alias("easy"))
+        else:
+            rows = step.keep("unsettled", _unsettled(members, labels, turn))
         easy_rows, hard_rows = rows.agg(F.count_if("easy"), F.count_if(~F.col("easy"))).first()
-        pairs = []
-        if easy_rows:
-            pairs.append(_bucket_pairs(rows.where("easy"), percent, F.col("x.comp") != F.col("y.comp")))
+        if easy_rows + hard_rows == 0:
+            break
+        if turn:  # what is left meets many others, so its bits go with it; first only one centre is met
+            rows = step.keep("with-bits", rows.join(texts_of(bits.withColumnRenamed("rep", "doc_id"), rows.select(
+                F.col("rep").alias("doc_id")).distinct()).withColumnRenamed("doc_id", "rep"), "rep"))
+        may = (lambda x, y: _may_link(x, y, percent)) if turn else (
+            lambda x, y: close_in_size(F.col(f"{x}.n"), F.col(f"{y}.n"), percent))
+        hard, pairs = rows.where("not easy"), None
         if hard_rows:
-            hard = rows.where("not easy")
             chosen = step.keep("centres", _centres(hard, turn, centres))
-            pairs.append(hard.alias("x").join(chosen.alias("c"), [
-                F.col("x.key") == F.col("c.key"), F.col("x.comp") != F.col("c.comp"), F.col("x.rep") != F.col("c.rep"),
-                _may_link("x", "c", percent)]).select(F.col("c.rep").alias("a"), F.col("x.rep").alias("b")))
-            members = step.keep("members", hard.join(chosen, ["key", "rep"], "left_anti").select("key", *_MEMBER))
-        if pairs:
-            every = pairs[0] if len(pairs) == 1 else pairs[0].unionByName(pairs[1])
-            labels = _merged(step, labels, verified(step, known, _filtered(every.distinct(), sets), size, percent, "links"))
+            pairs = hard.alias("x").join(chosen.alias("y"), [
+                F.col("x.key") == F.col("y.key"), F.col("x.comp") != F.col("y.comp"), F.col("x.rep") != F.col("y.rep"),
+                may("x", "y")]).select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"))
+            members = step.keep("members", hard.join(chosen, ["key", "rep"], "left_anti").select("key", "rep", "n"))
+        if easy_rows:
+            few = _bucket_pairs(rows.where("easy"), F.col("x.comp") != F.col("y.comp"), may("x", "y"))
+            pairs = few if pairs is None else pairs.unionByName(few)
+        links = verified(step, known, _filtered(step, pairs, sets, percent), size, percent, "links")
+        labels = _merged(step, labels, links)
         if not hard_rows:
-            labels = scratch.keep(f"{name}-labels", labels if labels is not None else _no_labels(scratch))
-            before.clear()
-            step.clear()
-            return labels
+            break
         before.clear()
         turn, centres = turn + 1, centres * MORE_CENTRES
+    labels = scratch.keep(f"{name}-labels", labels if labels is not None else _no_labels(scratch))
+    before.clear()
+    step.clear()
+    return labels
+
+
+def _unsettled(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """Members of buckets that are not all connected, with their component, the bucket's size and whether it is easy."""
+    placed = members.join(labels, F.col("rep") == F.col("node"), "left").select(
+        "key", "rep", "n", F.coalesce("label", "rep").alias("comp"))
+    parts = placed.groupBy("key", "comp").agg(F.count("*").cast("double").alias("part"))
+    sizes = parts.groupBy("key").agg(F.sum("part").alias("size"), F.sum(F.col("part") * F.col("part")).alias("squares"))
+    cross = (F.col("size") * F.col("size") - F.col("squares")) / 2
+    open_ = sizes.where(cross > 0).select("key", "size", (F.lit(turn > 0) & (cross <= EASY * F.col("size"))).alias("easy"))
+    return placed.join(open_, "key").select("key", "rep", "n", "comp", "size", "easy")
 
 
 def _no_labels(scratch: Scratch) -> DataFrame:
@@ -242,14 +256,14 @@ def _no_labels(scratch: Scratch) -> DataFrame:
 
 def _centres(rows: DataFrame, turn: int, centres: int) -> DataFrame:
     """About so many members of each bucket, one at least: first that which meets most others over all its buckets."""
-    member = F.struct(*_MEMBER, "comp")
+    member = F.struct(*(c for c in rows.columns if c not in ("key", "size", "easy")))
     if turn == 0:
         meets = rows.groupBy("rep").agg(F.sum("size").alias("meets"))
         order = F.struct("meets", -F.col("rep"))
         return rows.join(meets, "rep").groupBy("key").agg(F.max_by(member, order).alias("c")).select("key", "c.*")
     hashed = rows.withColumn("h", F.xxhash64("rep", "key", F.lit(turn)))
     one = hashed.groupBy("key").agg(F.min_by(member, F.struct("h", "rep")).alias("c")).select("key", "c.*")
-    some = hashed.where(F.pmod("h", F.col("size").cast("long")) < centres).select("key", *_MEMBER, "comp")
+    some = hashed.where(F.pmod("h", F.col("size").cast("long")) < centres).select(one.columns)
     return one.unionByName(some).distinct()
 
 
@@ -284,8 +298,9 @@ def similar_pairs(docs: DataFrame, size: int = 3, percent: int = 90, id_col: str
     rows = only(docs, doc_id=id_col, text=text_col)
     own, sets = sketches(scratch, rows, size, percent, "all")
     members = scratch.keep("members", _buckets(sets))
-    links = verified(scratch, rows.where("doc_id is not null"), _filtered(_bucket_pairs(members, percent), sets), size, percent,
-                     "every")
+    members = members.select("key", "rep", "n").join(sets.select("rep", *_BITS).dropDuplicates(["rep"]), "rep")
+    pairs = _filtered(scratch, _bucket_pairs(members, _may_link("x", "y", percent)), sets, percent)
+    links = verified(scratch, rows.where("doc_id is not null"), pairs, size, percent, "every")
     membership = own.where("doc_id is not null").join(sets.select("digest", F.col("rep").alias("class_id")), "digest").select(
         "doc_id", "class_id").distinct()
     return links, membership
