@@ -99,3 +99,46 @@ def test_query_over_the_whole_table(spark):
     few = [(i, t) for i, t in docs if i in found or i % 40 == 0]
     few = [(i, t) for i, t in few if len(t or "") < 2500]
     assert {i for i, _ in brute(few, items)} == found & {i for i, _ in few}
+
+
+RUNS = [(1, "____ is the capital of a country whose name nobody in this long sentence remembers, as was said before"),
+        (2, "question .... with dots inside of it .... and more of them at the very end of the whole item ............"),
+        (3, "=" * 140), (4, "ab" * 70), (5, "Name it: ......................12")]
+
+
+def test_runs_in_items_and_texts(spark):
+    docs = [(1, "no leak, but a text that ends in a run ____________________________________"), (2, "........................"),
+            (3, "x" + RUNS[0][1]), (4, RUNS[1][1] + "......."), (5, "=" * 3000), (6, "-" * 3000), (7, "ba" * 800),
+            (8, "tail ....................12"), (9, "begin Name it: ......................12"), (10, "____")]
+    bench = spark.createDataFrame(RUNS, "item_id long, text string")
+    for order in (docs, docs[::-1]):
+        assert pairs(decontaminate.find_leaks(frame(spark, order).coalesce(1), bench)) == brute(docs, RUNS)
+
+
+def test_a_long_run_takes_bounded_memory():
+    import tracemalloc
+
+    segments = decontaminate.Segments(RUNS, decontaminate.EDITS)
+    tracemalloc.start()
+    found = decontaminate.found_in(segments, ["=" * 400_000])
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(found) == {(0, 3)}
+    assert most < 250e6
+
+
+def test_short_items_are_found_exactly_and_100_characters_of_any_item(spark):
+    items = [(1, "the answer is 42"), (2, "too short"), (3, prose(90, 33)), (4, prose(91, 26)[:110])]
+    docs = [(1, "as we know The  answer is 42, or is it"), (2, "the answer is 43"), (3, "a too short one"),
+            *((10 + k, f"before {items[2][1][k: k + 150]} after") for k in range(0, 20, 5)),
+            (30, f"before {items[3][1][:100]} after"), (31, f"before {items[3][1][10:]} after")]
+    found = pairs(decontaminate.find_leaks(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")))
+    assert found == {(1, 1), (10, 3), (15, 3), (20, 3), (25, 3), (30, 4), (31, 4)}
+
+
+def test_each_row_is_judged_by_its_own_text(spark):
+    bench = spark.createDataFrame(ITEMS[:1], "item_id long, text string")
+    rows = [(5, "clean"), (5, ITEMS[0][1]), (6, "other")]
+    for more in ([], [(None, "no id"), (None, ITEMS[0][1])]):
+        kept = decontaminate.decontaminate(frame(spark, rows + more), bench).collect()
+        assert sorted((r.text for r in kept)) == sorted(["clean", "other"] + ["no id"] * bool(more))
