@@ -16,14 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martworks.functions.scalars import batch_day
 from martworks.operators.project import apply_config, stamp_ds
-from martworks.operators.quality import Rule, basic_checks, enforce, failed_rules, quarantine, report, write_report
+from martworks.operators.quality import ReferenceRule, Rule, basic_checks, enforce, failed_rules, quarantine, report, write_report
 from martworks.operators.reshape import explode_items
 from martworks.plans import marts, rules
 from martworks.plans.resources import CONFIGS, PRIMARY_KEYS, RAW_SCHEMAS, RESOURCES
-from martworks.sources import exports, raw, tables
+from martworks.sources import exports, publish, raw, tables
 
 REPORT_SCHEMA = "test_name string, layer string, resource string, ds date, status string, failures bigint"
-LOAD_MODES = ("replace_partition", "truncate_insert", "upsert")
+LOAD_MODES = ("replace_partition", "truncate_insert", "upsert", "publish")
 
 
 @dataclass(frozen=True)
@@ -41,6 +41,7 @@ class Lake:
             tables.ensure_database(self.spark, name, f"{self.root}/{name}")
         for resource in RESOURCES:
             tables.reopen_table(self.spark, f"{self.l1}.{resource}")
+            publish.recover(self.spark, f"{self.l1}.{resource}")
         tables.reopen_table(self.spark, f"{self.l2}.dim_product", None)
         tables.reopen_table(self.spark, f"{self.l2}.fact_sales", "load_ds")
         return self
@@ -79,7 +80,8 @@ def check(lake: Lake, layer: str, resource: str, ds: dt.date, df: DataFrame, rul
 def load(lake: Lake, resource: str, ds: str | dt.date | None = None, mode: str = LOAD_MODES[0], gate: bool = True) -> DataFrame:
     """Staging of one day into its table, after the pre-load checks. A failed check stops the load.
 
-    A day without rows is not checked and changes nothing; its table is created if there is none yet.
+    Mode ``publish`` replaces the day like ``replace_partition``, but tests it first: see :func:`load_gated`. A day without
+    rows is not checked and changes nothing; its table is created if there is none yet.
     """
     if mode not in LOAD_MODES:
         raise ValueError(f"load mode must be one of {LOAD_MODES}")
@@ -92,6 +94,8 @@ def load(lake: Lake, resource: str, ds: str | dt.date | None = None, mode: str =
     checked = check(lake, "staging", resource, day, batch, basic_checks(resource, CONFIGS[resource]))
     if gate:
         enforce(checked)
+    if mode == "publish":
+        return checked.unionByName(load_gated(lake, resource, day, batch, own_rules(lake, resource), gate))
     if mode == "upsert":
         tables.upsert(batch, table, PRIMARY_KEYS[resource])
     elif mode == "truncate_insert":
@@ -101,6 +105,31 @@ def load(lake: Lake, resource: str, ds: str | dt.date | None = None, mode: str =
     return checked
 
 
+def own_rules(lake: Lake, resource: str) -> list[Rule]:
+    """The warehouse tests of a table that need no other table of the same batch."""
+    if resource == "carts":
+        return [r for r in rules.carts_rules(*(lake.table("l1", "carts").limit(0),) * 2) if not isinstance(r, ReferenceRule)]
+    return {"products": rules.products_rules, "users": rules.users_rules}[resource]()
+
+
+def load_gated(lake: Lake, resource: str, ds: str | dt.date, batch: DataFrame, rule_list: list[Rule], gate: bool = True,
+               scope: str = "batch") -> DataFrame:
+    """Audit, then publish: the days of a batch replace those of the table only if their tests pass.
+
+    The rows are tested where they are stored already but not visible, alone or (``scope="table"``) together with the other
+    days. Report and quarantine are written either way, under the layer ``l1_candidate``. A failed test raises and leaves the
+    table as it was; with ``gate=False`` the days are published all the same. An empty batch changes nothing.
+    """
+    table = f"{lake.l1}.{resource}"
+    folders = publish.stage(batch, table)
+    rows = (publish.staged_rows if scope == "batch" else publish.table_with)(lake.spark, table, folders)
+    checked = check(lake, "l1_candidate", resource, batch_day(ds), rows, rule_list)
+    if gate:
+        enforce(checked)
+    publish.publish(lake.spark, table, folders)
+    return checked
+
+
 def check_l1(lake: Lake, ds: str | dt.date | None = None, scope: str = "table") -> DataFrame:
     """Warehouse tests of the lake tables: over whole tables, or over the rows of one batch."""
     day = batch_day(ds)

@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martworks.operators.quality import QualityError, at_least
+from martworks.plans.batch import Lake, load_gated
 from martworks.queries.registry import CARTS, MESSY_CARTS, PRODUCT_DAYS, PRODUCTS, query
 from martworks.session import scratch_dir
 from martworks.sources import adapters, tables
@@ -114,3 +116,28 @@ def load_upsert_keys_only(spark, sf_dir):
     tables.append_rows(keys, table)
     tables.upsert(keys.select((F.col("product_id") + 1000).alias("product_id")), table, ["product_id"])
     return spark.table(table)
+
+
+@query("gated_load", f"""with {CARTS},
+good as (select * replace (quantity * 2 as quantity) from carts where ds = date '1997-01-01'),
+bad as (select * replace (quantity - 5 as quantity) from carts where ds = date '1996-01-01')
+select 'table' as kind, cart_id, product_id, quantity, ds from carts where ds <> date '1997-01-01'
+union all select 'table', cart_id, product_id, quantity, ds from good
+union all select 'quarantine', cart_id, product_id, quantity, ds from bad where quantity < 1""")
+def gated_load(spark, sf_dir):
+    """All days are published together, then a good new version of one day; a bad one stays out and goes to quarantine."""
+    carts = adapters.carts(spark, sf_dir)
+    lake = Lake(spark, scratch_dir(spark, "gated"), l1=f"run_{uuid.uuid4().hex}")
+    tables.ensure_database(spark, lake.l1, f"{lake.root}/{lake.l1}")
+    tests = [at_least("carts_quantity_positive", "quantity", 1)]
+    load_gated(lake, "carts", "1995-01-01", carts, tests)
+    load_gated(lake, "carts", "1997-01-01", _day(carts, "1997-01-01").withColumn("quantity", F.col("quantity") * 2), tests)
+    bad = _day(carts, "1996-01-01").withColumn("quantity", F.col("quantity") - 5)
+    try:
+        load_gated(lake, "carts", "1996-01-01", bad, tests)
+    except QualityError:
+        pass
+    columns = ["cart_id", "product_id", "quantity", "ds"]
+    kept = lake.table("l1", "carts").select(F.lit("table").alias("kind"), *columns)
+    out = spark.read.parquet(f"{lake.root}/quarantine/l1_candidate/carts/ds=1996-01-01").withColumnRenamed("row_ds", "ds")
+    return kept.unionByName(out.select(F.lit("quarantine").alias("kind"), *columns))

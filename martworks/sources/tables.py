@@ -28,7 +28,7 @@ class DuplicateKeys(ValueError):
     """A batch holds the same upsert key more than once."""
 
 
-def _sql_name(name: str) -> str:
+def sql_name(name: str) -> str:
     return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
 
 
@@ -36,7 +36,7 @@ def _sql_name(name: str) -> str:
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     at = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_sql_name(name)}{at}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {sql_name(name)}{at}")
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
@@ -115,11 +115,11 @@ def reopen_table(spark: SparkSession, table: str, partition_by: str | None = PAR
     except AnalysisException:  # no such folder, or no file in it
         return False
     partitioned = partition_by in schema.names
-    columns = ", ".join(f"{_sql_name(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
-    parts = f" PARTITIONED BY ({_sql_name(partition_by)})" if partitioned else ""
-    spark.sql(f"CREATE TABLE {_sql_name(table)} ({columns}) USING parquet{parts} LOCATION '{location}'")
+    columns = ", ".join(f"{sql_name(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+    parts = f" PARTITIONED BY ({sql_name(partition_by)})" if partitioned else ""
+    spark.sql(f"CREATE TABLE {sql_name(table)} ({columns}) USING parquet{parts} LOCATION '{location}'")
     if partitioned:
-        spark.sql(f"ALTER TABLE {_sql_name(table)} RECOVER PARTITIONS")
+        spark.sql(f"ALTER TABLE {sql_name(table)} RECOVER PARTITIONS")
     return True
 
 
@@ -132,15 +132,15 @@ def sync_table(spark: SparkSession, table: str, df: DataFrame, partition_by: str
     reopen_table(spark, table, partition_by)
     fields = {f.name: storage_type(f.dataType).simpleString() for f in df.schema.fields}
     if not table_exists(spark, table):
-        columns = ", ".join(f"{_sql_name(name)} {dtype}" for name, dtype in fields.items())
-        parts = f" PARTITIONED BY ({_sql_name(partition_by)})" if partition_by in fields else ""
-        spark.sql(f"CREATE TABLE {_sql_name(table)} ({columns}) USING parquet{parts} "
+        columns = ", ".join(f"{sql_name(name)} {dtype}" for name, dtype in fields.items())
+        parts = f" PARTITIONED BY ({sql_name(partition_by)})" if partition_by in fields else ""
+        spark.sql(f"CREATE TABLE {sql_name(table)} ({columns}) USING parquet{parts} "
                   f"LOCATION '{table_location(spark, table)}'")
         return
     known = {name.lower() for name in table_columns(spark, table)}
-    new = [f"{_sql_name(name)} {dtype}" for name, dtype in fields.items() if name.lower() not in known]
+    new = [f"{sql_name(name)} {dtype}" for name, dtype in fields.items() if name.lower() not in known]
     if new:
-        spark.sql(f"ALTER TABLE {_sql_name(table)} ADD COLUMNS ({', '.join(new)})")
+        spark.sql(f"ALTER TABLE {sql_name(table)} ADD COLUMNS ({', '.join(new)})")
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
@@ -171,7 +171,7 @@ def materialize_table(
 
 # -- inserts -----------------------------------------------------------------------------------------------------------
 
-def _aligned(df: DataFrame, table: str) -> DataFrame:
+def aligned(df: DataFrame, table: str) -> DataFrame:
     """Frame in the table's column order and types; columns it lacks are null."""
     schema = df.sparkSession.table(table).schema
     ready = named_as(storable(df), schema.names)
@@ -183,7 +183,7 @@ def _aligned(df: DataFrame, table: str) -> DataFrame:
 def _insert(df: DataFrame, table: str, overwrite: str | None = None) -> None:
     mode = overwrite or "static"
     with setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", mode):
-        _aligned(df, table).write.insertInto(table, overwrite=overwrite is not None)
+        aligned(df, table).write.insertInto(table, overwrite=overwrite is not None)
 
 
 def by_day(df: DataFrame, partition: str = PARTITION) -> DataFrame:
@@ -248,7 +248,7 @@ def _clear_day(spark: SparkSession, table: str, partition: str, day: Any) -> Non
     )
     with setting(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
         spark.sql(
-            f"INSERT OVERWRITE TABLE {_sql_name(table)} PARTITION ({_sql_name(partition)} = {value}) "
+            f"INSERT OVERWRITE TABLE {sql_name(table)} PARTITION ({sql_name(partition)} = {value}) "
             f"SELECT {rest} FROM range(0)"
         )
 
