@@ -10,17 +10,20 @@ at a time is assumed, as for all loads.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martworks.functions.paths import quoted
 from martworks.sources import tables
 
-_COMMITS = "commit bigint, day string, location string"
+# ``columns``: schema of the table when the day was published, as JSON.
+_COMMITS = "commit bigint, day string, location string, columns string"
 
 
 def versions_folder(spark: SparkSession, table: str) -> str:
@@ -29,7 +32,7 @@ def versions_folder(spark: SparkSession, table: str) -> str:
 
 
 def commits(spark: SparkSession, table: str) -> DataFrame:
-    """``commit, day, location`` of all that was ever published; no rows if nothing was."""
+    """``commit, day, location, columns`` of all that was ever published; no rows if nothing was."""
     try:
         return spark.read.schema(_COMMITS).parquet(f"{versions_folder(spark, table)}/commits")
     except AnalysisException:  # nothing was published yet
@@ -42,19 +45,27 @@ def published(spark: SparkSession, table: str) -> dict[str, str]:
     return {r.day: r.location for r in rows}
 
 
-def stage(batch: DataFrame, table: str, partition: str = tables.PARTITION) -> dict[str, str]:
+def stage(batch: DataFrame, table: str, partition: str = tables.PARTITION, many_days: bool = False) -> dict[str, str]:
     """Write the days of a batch to new folders; nothing of it can be seen in the table. Returns the folder of each day.
 
     The table is created, and gets the batch's new columns, which rows of other days read as null. Rows without a day raise.
+    ``many_days`` gathers the rows by day first, in one shuffle.
     """
     spark = batch.sparkSession
     tables.sync_table(spark, table, batch, partition)
     base = f"{versions_folder(spark, table)}/v-{uuid.uuid4().hex}"
     rows = tables.aligned(batch, table)
-    days = [r[0] for r in rows.select(quoted(partition)).distinct().collect()]  # partitions, a list the catalog holds anyway
+    (tables.by_day(rows, partition) if many_days else rows).write.partitionBy(partition).parquet(base)
+    written = spark.read.schema(rows.schema).parquet(base).select(quoted(partition)).distinct()
+    days = [r[0] for r in written.collect()]  # partitions, a list the catalog holds anyway
     if None in days:
         raise ValueError(f"rows without {partition} cannot be published by day")
-    rows.write.partitionBy(partition).parquet(base)
+    return {str(day): f"{base}/{partition}={day}" for day in days}
+
+
+def empty(spark: SparkSession, table: str, days: Iterable[dt.date], partition: str = tables.PARTITION) -> dict[str, str]:
+    """Folders for days without rows. They need not exist: a partition of no folder has no rows, and inserts create it."""
+    base = f"{versions_folder(spark, table)}/v-{uuid.uuid4().hex}"
     return {str(day): f"{base}/{partition}={day}" for day in days}
 
 
@@ -78,7 +89,8 @@ def publish(spark: SparkSession, table: str, folders: Mapping[str, str], partiti
     if not folders:
         return
     last = commits(spark, table).agg(F.max("commit")).first()[0] or 0
-    rows = [(last + 1, day, folder) for day, folder in sorted(folders.items())]
+    columns = spark.table(table).schema.json()
+    rows = [(last + 1, day, folder, columns) for day, folder in sorted(folders.items())]
     spark.createDataFrame(rows, _COMMITS).coalesce(1).write.mode("append").parquet(f"{versions_folder(spark, table)}/commits")
     _point(spark, table, folders, partition)
 
@@ -97,9 +109,16 @@ def recover(spark: SparkSession, table: str, partition: str = tables.PARTITION)
 
     A catalogue that ends with its session, and a driver lost between a commit and its partitions, are mended by this.
     """
-    folders = published(spark, table)
-    if not folders:
-        return
-    files = spark.read.option("mergeSchema", True).parquet(*folders.values()).drop(partition)
-    tables.sync_table(spark, table, files.withColumn(partition, F.lit(None).cast("date")), partition)
-    _point(spark, table, folders, partition)
+    last = commits(spark, table).agg(F.max_by("columns", "commit")).first()[0]
+    if last is not None:
+        columns = T.StructType.fromJson(json.loads(last))
+        tables.sync_table(spark, table, spark.createDataFrame([], columns), partition)
+        _point(spark, table, published(spark, table), partition)
+
+
+def replace_all(df: DataFrame, table: str, partition: str = tables.PARTITION, many_days: bool = False) -> None:
+    """Make the days of ``df`` the whole table, by one commit."""
+    spark = df.sparkSession
+    folders = stage(df, table, partition, many_days)
+    days = [r.partition.partition("=")[2] for r in spark.sql(f"SHOW PARTITIONS {tables.sql_name(table)}").collect()]
+    publish(spark, table, empty(spark, table, days, partition) | folders, partition)

@@ -203,6 +203,9 @@ def truncate_insert(
     if df.isEmpty():
         return
     sync_table(df.sparkSession, table, df, partition_by)
+    if _publish().published(df.sparkSession, table):  # its days lie in folders that an overwrite would not clear
+        _publish().replace_all(df, table, partition_by, many_days)
+        return
     _insert(by_day(df, partition_by) if many_days else df, table, overwrite="static")
 
 
@@ -253,10 +256,25 @@ def _clear_day(spark: SparkSession, table: str, partition: str, day: Any) -> Non
         )
 
 
+def _publish():
+    from martworks.sources import publish  # which builds on this module
+
+    return publish
+
+
 def _rewrite(
     spark: SparkSession, table: str, rows: DataFrame, partition: str | None = None, days: Sequence[Any] = ()
 ) -> None:
-    """Make ``rows`` the content of the given days, or of the whole table when it has no partitions."""
+    """Make ``rows`` the content of the given days, or of the whole table when it has no partitions.
+
+    Days are written once, to folders of their own, and all become visible by one commit. Rows without a day, which no
+    folder can be named after, and tables without partitions are staged and overwritten.
+    """
+    if partition is not None and None not in days:
+        publish = _publish()
+        folders = publish.stage(rows, table, partition, many_days=True)
+        publish.publish(spark, table, publish.empty(spark, table, days, partition) | folders, partition)
+        return
     with staged(rows, "rewrite") as ready:
         if partition is None:
             _insert(ready, table, overwrite="static")
@@ -282,8 +300,7 @@ def delete_where(spark: SparkSession, table: str, where: Mapping[str, Any]) -> N
         return
     days = _days(target.where(match), parts[0])
     if set(where) == {parts[0]}:  # whole days: no row has to be read or kept
-        for day in days:
-            _clear_day(spark, table, parts[0], day)
+        _publish().publish(spark, table, _publish().empty(spark, table, days, parts[0]), parts[0])
         return
     if days:
         _rewrite(spark, table, target.where(_within(parts[0], days)).where(keep), parts[0], days)

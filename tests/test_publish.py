@@ -98,3 +98,36 @@ def test_rows_without_a_day_and_nothing(spark):
     publish.publish(spark, table, {})
     publish.recover(spark, table)
     assert content(spark, table) == []
+
+
+def test_rewrites_change_all_days_at_once(spark, monkeypatch):
+    table = fresh_table(spark, "carts")
+    tables.append_rows(batch(spark, (1, 1, DAY1), (2, 2, DAY1), (3, 3, DAY2)), table)
+    before = content(spark, table)
+    steps = []
+    with monkeypatch.context() as m:
+        m.setattr(publish, "_point", lambda spark, table, folders, partition: steps.append(sorted(folders)))
+        tables.upsert(batch(spark, (3, 30, DAY1), (4, 40, DAY1)), table, ["cart_id"])
+        assert content(spark, table) == before  # committed, but no partition was moved yet
+    assert steps == [[str(DAY1), str(DAY2)]]
+    spark.sql(f"DROP TABLE {table}")
+    tables.reopen_table(spark, table)
+    publish.recover(spark, table)
+    after = [(1, 1, DAY1), (2, 2, DAY1), (3, 30, DAY1), (4, 40, DAY1)]
+    assert content(spark, table) == after
+    tables.delete_where(spark, table, {"quantity": 2})
+    tables.append_rows(batch(spark, (5, 5, DAY2)), table)  # the emptied day takes rows again, and no old ones come back
+    assert content(spark, table) == [after[0], *after[2:], (5, 5, DAY2)]
+    tables.delete_where(spark, table, {"ds": DAY1})
+    assert content(spark, table) == [(5, 5, DAY2)]
+
+
+def test_an_overwritten_table_forgets_published_days(spark):
+    table = fresh_table(spark, "carts")
+    put(spark, table, batch(spark, (1, 1, DAY1), (2, 2, DAY2)))
+    tables.truncate_insert(batch(spark, (3, 3, DAY2)), table)
+    tables.append_rows(batch(spark, (4, 4, DAY1)), table)
+    for _ in range(2):
+        assert content(spark, table) == [(3, 3, DAY2), (4, 4, DAY1)]
+        spark.sql(f"DROP TABLE {table}")
+        publish.recover(spark, table)
