@@ -52,7 +52,8 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.limits(token_counts.histogram(table(spark, sf_dir, "documents")))
+    counts = token_counts.histogram(table(spark, sf_dir, "documents"))
+    return token_counts.with_quantiles(token_counts.limits(counts, token_counts.CONTEXTS))
 
 
 @query

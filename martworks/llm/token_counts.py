@@ -1,22 +1,26 @@
 """Exact token-length histogram of a corpus, and what any context limit leaves of it.
 
-Documents are counted by encoded length, which is the only pass over the texts. Every other figure follows from the
-histogram by sums over the shorter and the longer lengths: totals, quantiles, and for a context limit the documents and
-tokens it cuts. Running sums go over blocks of lengths first, so that no single task needs the whole histogram.
+Documents are counted by encoded length, which is the only pass over the texts: the histogram is kept as a table and
+every other figure follows from it by sums over the shorter and the longer lengths: totals, quantiles, and for a context
+limit the documents and tokens it cuts. Running sums go over blocks of lengths first, so that no single task needs the
+whole histogram.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martworks.llm.scratch import only
+from martworks.llm.scratch import Scratch, only
 from martworks.llm.token_ids import PieceIds
 
 BLOCK = 1024
+# Usual context limits, and shares of all documents whose length is of interest.
+CONTEXTS = tuple(1 << k for k in range(9, 18))
+SHARES = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 0.999)
 
 
 def lengths(docs: DataFrame, text_col: str = "text", tokenizer: str | None = None) -> DataFrame:
@@ -32,17 +36,25 @@ def lengths(docs: DataFrame, text_col: str = "text", tokenizer: str | None = Non
 
 
 def histogram(docs: DataFrame, text_col: str = "text", tokenizer: str | None = None) -> DataFrame:
-    """``n_tokens, n_docs``: each encoded length and how many rows have it. Rows that repeat count each time."""
-    return lengths(docs, text_col, tokenizer).groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
+    """``n_tokens, n_docs``: each encoded length and how many rows have it. Rows that repeat count each time.
+
+    The rows are a table in the shared folder, so what reads them does not encode the corpus again.
+    """
+    counts = lengths(docs, text_col, tokenizer).groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
+    return Scratch(docs.sparkSession, "token-counts").keep("histogram", counts)
 
 
-def limits(counts: DataFrame) -> DataFrame:
-    """For each length of a :func:`histogram`, what it leaves as a context limit.
+def limits(counts: DataFrame, also: Sequence[int] = ()) -> DataFrame:
+    """For each length of a :func:`histogram` and the limits ``also``, what it leaves as a context limit.
 
-    Columns: ``n_tokens, n_docs, docs_up_to, tokens_up_to`` (this length included), ``docs_longer, tokens_longer``,
-    ``kept_tokens`` (total with every document cut to ``n_tokens``) and ``cut_tokens``. An empty histogram gives no
-    rows.
+    Columns: ``n_tokens, n_docs`` (0 for a limit that no document has as its length), ``docs_up_to, tokens_up_to`` (this
+    length included), ``docs_longer, tokens_longer``, ``kept_tokens`` (total with every document cut to ``n_tokens``) and
+    ``cut_tokens``. A length that occurs and is in ``also`` too has one row. An empty histogram gives a row of zeros for
+    each limit in ``also`` and no others.
     """
+    if also:
+        more = counts.sparkSession.createDataFrame([(n, 0) for n in also], "n_tokens long, n_docs long")
+        counts = counts.unionByName(more).groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs"))
     block = F.floor(F.col("n_tokens") / BLOCK)
     sized = counts.select("n_tokens", "n_docs", (F.col("n_tokens") * F.col("n_docs")).alias("tokens"),
                           block.alias("block"))
@@ -70,6 +82,14 @@ def quantile(table: DataFrame, share: float) -> Column:
     return F.min(F.when(F.col("docs_up_to") >= F.lit(share) * total, F.col("n_tokens")))
 
 
+def with_quantiles(table: DataFrame, shares: Sequence[float] = SHARES) -> DataFrame:
+    """:func:`limits` with ``quantiles``: the ``shares`` of which the length is the quantile; empty for most lengths."""
+    total = F.col("docs_up_to") + F.col("docs_longer")
+    before = F.col("docs_up_to") - F.col("n_docs")
+    least = [F.when((F.col("docs_up_to") >= F.lit(q) * total) & (before < F.lit(q) * total), F.lit(q)) for q in shares]
+    return table.withColumn("quantiles", F.array_compact(F.array(*least)))
+
+
 def truncated_total(counts: DataFrame, limit: int) -> DataFrame:
     """One row ``tokens``: the corpus total with every document cut to ``limit``, from the histogram alone."""
     return counts.agg(F.coalesce(F.sum(F.least("n_tokens", F.lit(limit)) * F.col("n_docs")), F.lit(0)).alias("tokens"))

@@ -116,9 +116,9 @@ def test_query_packs_all_documents(spark, whole):
     checked(QUERIES["op9_best_fit_packing"](spark, "/root/testdata/sf0.001").collect(), docs, whole, packing.SIZE)
 
 
-def limits_of(lengths):
+def limits_of(lengths, also=()):
     out = []
-    for n in sorted(set(lengths)):
+    for n in sorted({*lengths, *also}):
         longer = [x for x in lengths if x > n]
         kept = sum(min(x, n) for x in lengths)
         out.append((n, lengths.count(n), len(lengths) - len(longer), sum(lengths) - sum(longer), len(longer), sum(longer), kept,
@@ -142,5 +142,24 @@ def test_query_counts_all_documents(spark, whole):
     from martworks.llm.queries import QUERIES
 
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(F.col("text")).collect()
-    got = QUERIES["op10_token_counts"](spark, "/root/testdata/sf0.001").collect()
-    assert sorted(map(tuple, got)) == limits_of([len(whole(r.text)) for r in docs])
+    got = QUERIES["op10_token_counts"](spark, "/root/testdata/sf0.001")
+    assert got.columns[-1] == "quantiles"
+    lengths = sorted(len(whole(r.text)) for r in docs)
+    assert sorted(tuple(r)[:-1] for r in got.collect()) == limits_of(lengths, token_counts.CONTEXTS)
+    of_share = {q: r.n_tokens for r in got.collect() for q in r.quantiles}
+    assert of_share == {q: min(n for n in lengths if sum(x <= n for x in lengths) >= q * len(lengths))
+                        for q in token_counts.SHARES}
+
+
+def test_limits_that_no_document_has(spark, whole):
+    lengths = [len(whole(t)) for _, t in texts()]
+    also = [n for n in (1, 3, 512, 10 ** 7) if n not in lengths] + [lengths[0]]
+    assert sorted(map(tuple, token_counts.limits(token_counts.histogram(frame(spark)), also).collect())) == limits_of(lengths, also)
+    none = token_counts.with_quantiles(token_counts.limits(token_counts.histogram(frame(spark, [])), [512]))
+    assert [tuple(r) for r in none.collect()] == [(512, *[0] * 7, [])]
+
+
+def test_texts_are_encoded_once(spark):
+    counts = token_counts.histogram(frame(spark))
+    plan = token_counts.with_quantiles(token_counts.limits(counts, [512]))._jdf.queryExecution().toString()
+    assert "InArrow" not in plan
