@@ -1,12 +1,15 @@
 import random
 from collections import Counter
+from functools import cached_property
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from oddities import frame, texts, words
 
 from martworks.llm import quality_rules
 from martworks.llm.queries import QUERIES
+from martworks.llm.words import Texts
 
 JUNK = [(50, "a b c d e f g h i j k " * 30), (51, "x|y #z " * 40), (52, "LOUD WORDS AND MORE " * 3 + " ".join(f"Q{k}" for k in range(40))),
         (53, "same line of words\n" * 9 + " ".join(f"w{k}" for k in range(25))), (54, "u " + " ".join("v" * 7) + " tail" * 20),
@@ -75,3 +78,58 @@ def test_query_over_the_whole_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
     expected = sorted(((d, *measures(t)) for d, t in docs), key=repr)
     assert rows_of(QUERIES["op4_quality_rules"](spark, "/root/testdata/sf0.001")) == expected
+
+
+def test_order_follows_what_a_rule_adds():
+    rules = [quality_rules.Rule(name, None, needs) for name, needs in
+             (("cheap", ("a",)), ("same", ("a",)), ("dear", ("b",)), ("free", ()))]
+    # 100 texts: 60 go by cheap and same alike, 30 by dear, 5 by free, 5 by none
+    seen = quality_rules.Estimate({0b0011: 60, 0b0100: 30, 0b1000: 5, 0: 5}, {"a": 1.0, "b": 4.0, "words": 9.0},
+                                  {"cheap": 0.1, "same": 0.2, "dear": 0.1, "free": 0.4})
+    steps = quality_rules.cascade(rules, seen)
+    assert [(s.rule.name, s.rejected) for s in steps] == [("cheap", 60), ("free", 5), ("dear", 30), ("same", 0)]
+    assert [round(s.cost, 6) for s in steps] == [1.1, 0.4, 4.1, 0.2]  # same needs nothing new by then
+    known = quality_rules.cascade(rules, seen, ("b",))
+    assert [s.rule.name for s in known] == ["dear", "cheap", "free", "same"]
+
+
+def test_rejected_texts_meet_no_further_rule(monkeypatch):
+    measured = []
+    share = quality_rules.Block.upper_share.func
+
+    def counted(block):
+        measured.append(len(block.texts))
+        return share(block)
+
+    spy = cached_property(counted)
+    spy.__set_name__(quality_rules.Block, "upper_share")
+    monkeypatch.setattr(quality_rules.Block, "upper_share", spy)
+    rules = {r.name: r for r in quality_rules.RULES}
+    block = quality_rules.Block(Texts.of(pa.array([t for _, t in JUNK])))
+    failed, by, met = quality_rules.judge(block, [rules["symbols"], rules["word_length"], rules["shouting"]])
+    left = int(((~failed) & (by != 0) & (by != 1)).sum())
+    assert measured == [left] and 0 < left < len(JUNK) - failed.sum()
+    assert met.tolist() == [0 if f else b + 1 if b >= 0 else 3 for f, b in zip(failed, by, strict=True)]
+
+
+def test_taken_rows_keep_what_is_known():
+    block = quality_rules.Block(Texts.of(pa.array([t for _, t in texts() + JUNK])))
+    names = ("words", "hashes", *quality_rules.MEASURES)
+    for name in names:
+        getattr(block, name)
+    rows = np.arange(0, len(block.texts), 3)
+    taken = block.take(rows)
+    fresh = quality_rules.Block(taken.texts)
+    assert set(quality_rules.MEASURES) <= taken.__dict__.keys()
+    for name in names[1:]:
+        assert np.array_equal(getattr(taken, name), getattr(fresh, name)), name
+    for part in ("start", "end", "first"):
+        assert np.array_equal(getattr(taken.words, part), getattr(fresh.words, part))
+
+
+def test_trace_names_the_rule(spark):
+    got = quality_rules.traced(frame(spark, JUNK + [(60, None)]), quality_rules.RULES).collect()
+    by = {r.doc_id: (r.rejected_by, r.rules_met) for r in got}
+    assert by[51] == ("repeated_words", 0) and by[60] == ("few_words", 0) and by[55] == ("word_length", 4)
+    assert {r.rule_order for r in got} == {"stutter,repeated_lines,symbols,word_length,shouting"}
+    assert all(r.kept == (r.rejected_by is None) for r in got)
