@@ -9,8 +9,8 @@ shuffle each class in their own way.
    needs no exact counts: any total order is lossless. A second pass writes the prefixes of each set under each order.
 2. Documents with the same set are one class; only its smallest id goes on.
 3. Buckets are the shingles of the first order's prefixes. A pair of a bucket whose sets surely differ in too many
-   shingles is none: each set has 512 bits, of which every shingle flips one, and two sets differ in at least as many
-   shingles as bits. The other pairs are filtered by the further orders and confirmed on the full sets.
+   shingles is none: each set has 512 bits (long sets 4,096 or 65,536 more), of which every shingle flips one, and
+   two sets differ in at least as many shingles as bits. The other pairs are filtered by the further orders and confirmed on the full sets.
    :func:`similar_pairs` does so with every pair and returns every link.
 4. :func:`ngram_join` asks for components only and goes by rounds: in the first each bucket has one centre that all others
    are compared with. Then buckets whose members are connected are done. A bucket with few unconnected pairs (at most
@@ -24,7 +24,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import reduce
-from operator import add
+from operator import add, and_
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +45,8 @@ ORDERS = (4.0, 1.0, 0.25)
 EASY, MORE_CENTRES = 128, 16
 # 64-bit words of flipped bits of each set.
 WORDS = 8
+# Sets of more shingles have further flipped bits: the number of 64-bit words by the least size.
+WIDE = ((16_000, 1024), (1000, 64))
 # Tables of counts that one call adds up.
 FAN_IN = 64
 _PARTS = 64
@@ -114,6 +116,15 @@ def flipped_bits(shingles: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.packbits(own.astype(np.uint8).reshape(n, 64 * WORDS), axis=1).view(np.int64)
 
 
+def wide_bits(shingles: np.ndarray) -> np.ndarray | None:
+    """Further flipped bits of one set as 64-bit words; none for a set that :func:`flipped_bits` tells apart well."""
+    for least, words in WIDE:
+        if len(shingles) > least:
+            bit = (mix(shingles ^ np.uint64(0x5A5A5A5A5A5A5A5A)) % np.uint64(64 * words)).astype(np.int64)
+            return np.packbits((np.bincount(bit, minlength=64 * words) & 1).astype(np.uint8)).view(np.int64)
+    return None
+
+
 def _lists(sets: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
     values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
@@ -128,16 +139,19 @@ def _sketch(size: int, percent: int, classes: np.ndarray):
                        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             lists = [_lists(sets) for sets in prefixes(shingles, at, percent, classes)]
             bits = flipped_bits(shingles, at)
+            wide = [wide_bits(shingles[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             yield pa.record_batch([batch.column("doc_id"), pa.array(np.diff(at), pa.int64()), pa.array(digests, pa.binary()),
-                                   *lists, *(pa.array(bits[:, k]) for k in range(WORDS))],
-                                  ["doc_id", "n", "digest", *_NAMES, *_BITS])
+                                   *lists, *(pa.array(bits[:, k]) for k in range(WORDS)),
+                                   pa.array(wide, pa.list_(pa.int64()))],
+                                  ["doc_id", "n", "digest", *_NAMES, *_BITS, "wide"])
 
     return run
 
 
 _NAMES = [f"order{k}" for k in range(len(ORDERS))]
 _BITS = [f"bits{k}" for k in range(WORDS)]
-_SCHEMA = ", ".join(["doc_id long, n long, digest binary", *(f"{n} array<long>" for n in _NAMES), *(f"{b} long" for b in _BITS)])
+_SCHEMA = ", ".join(["doc_id long, n long, digest binary", *(f"{n} array<long>" for n in _NAMES), *(f"{b} long" for b in _BITS),
+                     "wide array<long>"])
 
 
 def sketches(scratch: Scratch, rows: DataFrame, size: int, percent: int, name: str) -> tuple[DataFrame, DataFrame]:
@@ -145,7 +159,7 @@ def sketches(scratch: Scratch, rows: DataFrame, size: int, percent: int, name: s
     classes = classes_of_cells(scratch, rows, size, name)
     own = scratch.keep(f"{name}-sketches", rows.mapInArrow(_sketch(size, percent, classes), _SCHEMA))
     sets = scratch.keep(f"{name}-sets", own.where("doc_id is not null and n > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("n", *_NAMES, *_BITS))))
+        F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("n", *_NAMES, *_BITS, "wide"))))
     return own.select("doc_id", "n", "digest"), sets
 
 
@@ -162,19 +176,27 @@ def _may_link(x: str, y: str, percent: int) -> Column:
     return close_in_size(F.col(f"{x}.n"), F.col(f"{y}.n"), percent) & (differ * (100 + percent) <= (100 - percent) * n)
 
 
+def _wide_may_link(x: str, y: str, percent: int) -> Column:
+    """As :func:`_may_link` by the further bits, where both sets have equally many."""
+    differ = F.aggregate(F.zip_with(f"{x}.wide", f"{y}.wide", lambda v, w: F.bit_count(v.bitwiseXOR(w))), F.lit(0), add)
+    close = differ * (100 + percent) <= (100 - percent) * (F.col(f"{x}.n") + F.col(f"{y}.n"))
+    return F.when(F.size(f"{x}.wide") == F.size(f"{y}.wide"), close).otherwise(True)
+
+
 def _filtered(scratch: Scratch, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a, b`` that may be linked by size and bits, and share a prefix shingle under each further order too.
 
-    Only the sets that occur in a pair are shuffled.
+    Only the sets that occur in a pair are shuffled, and the prefixes only of those in a pair that the bits leave.
     """
-    pairs = scratch.keep("met", pairs.distinct())
-    ids = scratch.keep("met-ids", pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    own = texts_of(sets.withColumnRenamed("rep", "doc_id"), ids)
-    side = lambda x: own.select(F.col("doc_id").alias(x), F.struct("n", *_BITS, *_NAMES[1:]).alias(f"of_{x}"))
-    out = pairs.join(side("a"), "a").join(side("b"), "b").where(_may_link("of_a", "of_b", percent))
-    for name in _NAMES[1:]:
-        out = out.where(F.arrays_overlap(f"of_a.{name}", f"of_b.{name}"))
-    return out.select("a", "b").distinct()
+    steps = (("met", (*_BITS, "wide"), _may_link("of_a", "of_b", percent) & _wide_may_link("of_a", "of_b", percent)),
+             ("near", _NAMES[1:], reduce(and_, (F.arrays_overlap(f"of_a.{name}", f"of_b.{name}") for name in _NAMES[1:]))))
+    for step, columns, passes in steps:
+        pairs = scratch.keep(step, pairs.distinct())
+        ids = scratch.keep(f"{step}-ids", pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+        own = texts_of(sets.select(F.col("rep").alias("doc_id"), F.struct("n", *columns).alias("of")), ids)
+        side = lambda x: own.select(F.col("doc_id").alias(x), F.col("of").alias(f"of_{x}"))  # noqa: B023, E731
+        pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(passes).select("a", "b")
+    return pairs.distinct()
 
 
 def _bucket_pairs(members: DataFrame, *also) -> DataFrame:

@@ -107,3 +107,28 @@ def test_nothing(spark):
 def test_query_over_the_whole_table(spark):
     docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     assert component_rows(QUERIES["op11_ngram_jaccard_join"](spark, "/root/testdata/sf0.001")) == brute(docs, 3, 90)
+
+
+@pytest.mark.parametrize("n", [900, 1500, 17_000])
+def test_bits_never_exceed_the_difference(n):
+    rng = np.random.default_rng(n)
+    a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+    b = np.unique(np.concatenate([a[: len(a) - n // 12], rng.integers(0, 1 << 63, n // 30).astype(np.uint64)]))
+    c = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+    assert (ngram_join.wide_bits(a) is None) == (n <= 1000)
+    differ = lambda x, y: int(np.bitwise_count((x ^ y).view(np.uint64)).sum())
+    if n > 1000:
+        wide = [ngram_join.wide_bits(x) for x in (a, b, c)]
+        assert differ(wide[0], wide[1]) <= len(np.setxor1d(a, b))
+        assert 19 * differ(wide[0], wide[2]) > len(a) + len(c)  # so 90 per cent are excluded
+
+
+def test_long_texts_that_share_rare_words(spark):
+    """Two links and a look-alike among texts of 1,100 and 16,500 words, also across the sizes at which bits grow."""
+    docs = []
+    for k, n in enumerate((1003, 16_010)):
+        words = [f"w{k}x{i}" for i in range(n)]
+        docs += [(10 * k, " ".join(words)), (10 * k + 1, " ".join(words[: n - 20])),
+                 (10 * k + 2, " ".join(words[: n // 2] + [f"o{k}y{i}" for i in range(n // 2)]))]
+    got = {r.doc_id: r.component_id for r in ngram_join.ngram_join(frame(spark, docs)).collect()}
+    assert got == {0: 0, 1: 0, 2: 2, 10: 10, 11: 10, 12: 12}
