@@ -8,7 +8,7 @@ hold affected rows.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from functools import reduce
 from operator import and_
 from typing import Any
@@ -344,17 +344,21 @@ def new_rows(batch: DataFrame, matched: DataFrame, keys: Sequence[str]) -> DataF
     return batch.join(matched.select(*map(quoted, keys)), list(keys), "left_anti")
 
 
-def upsert(batch: DataFrame, table: str, keys: Sequence[str], partition_by: str | None = PARTITION) -> None:
+def upsert(
+    batch: DataFrame, table: str, keys: Sequence[str], partition_by: str | None = PARTITION, known: DataFrame | None = None
+) -> None:
     """Insert new keys, update the others' non-key columns. A batch of keys only inserts the new ones.
 
     The matched keys and their days are found first, by a semi join over the key columns; only those days and the
-    days of the batch are read in full and rewritten.
+    days of the batch are read in full and rewritten. ``known`` gives them where an index has found them already.
     """
     with staged(storable(batch), "batch") as rows:  # read several times below, computed once
-        _upsert(rows, table, keys, partition_by)
+        _upsert(rows, table, keys, partition_by, known)
 
 
-def _upsert(batch: DataFrame, table: str, keys: Sequence[str], partition_by: str | None) -> None:
+def _upsert(
+    batch: DataFrame, table: str, keys: Sequence[str], partition_by: str | None, known: DataFrame | None
+) -> None:
     spark = batch.sparkSession
     check_unique(batch, keys)
     sync_table(spark, table, batch, partition_by)
@@ -364,7 +368,7 @@ def _upsert(batch: DataFrame, table: str, keys: Sequence[str], partition_by: str
     parts = partition_columns(spark, table)
     key_rows = batch.select(*map(quoted, keys))
     found = target.select(*map(quoted, dict.fromkeys([*keys, *parts]))).join(key_rows, list(keys), "left_semi")
-    with staged(found, "matched") as matched:
+    with staged(found, "matched") if known is None else nullcontext(known) as matched:
         fresh = new_rows(batch, matched, keys)
         if len(keys) == len(batch.columns):
             _insert(fresh, table)
