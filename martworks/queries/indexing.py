@@ -1,10 +1,13 @@
-"""Tables with key indexes: upserts, unique keys and references over all days, from the index alone."""
+"""Tables kept beside the lake's: key indexes for upserts, unique keys and references over all days, and KPI partials."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martworks.plans import partials
 from martworks.queries.loading import fresh_table
 from martworks.queries.registry import CARTS, PRODUCTS, query
 from martworks.sources import adapters, key_index, tables
@@ -86,3 +89,25 @@ def dq_incremental(spark, sf_dir):
     lost = by_product.orphans(parent).withColumns({
         "test_name": F.lit("carts_product"), "cart_id": F.lit(None).cast("long")})
     return again.select(columns).unionByName(lost.select(columns))
+
+
+@query("kpi_from_partials", f"""with {CARTS},
+now as (
+  select cart_id, case when ds = date '1997-01-01' then product_id * 2 else product_id end as product_id, quantity, ds
+  from carts where ds <> date '1997-01-01' or quantity > 10),
+rows as (select 'all' as days, * from now union all select '1996 to 1997', * from now where year(ds) in (1996, 1997)),
+totals as (
+  select days, coalesce(sum(quantity * 2), 0)::double as revenue, count(distinct cart_id) as orders,
+         coalesce(sum(quantity), 0)::bigint as items, count(distinct product_id) as unique_products from rows group by days)
+select *, case when orders > 0 then revenue / orders else 0.0 end as aov from totals""")
+def kpi_from_partials(spark, sf_dir):
+    """One day's lines are replaced and with them its partial; KPI rows over all days and over two of them."""
+    lines = adapters.carts(spark, sf_dir).withColumn("total_sales", F.col("quantity") * 2)
+    table = fresh_table(spark, "kpi_partials")
+    partials.load(lines, table, many_days=True)
+    again = lines.where("year(ds) = 1997 and quantity > 10").withColumn("product_id", F.col("product_id") * 2)
+    partials.load(again, table)
+    kept = spark.table(table)
+    two = [dt.date(1996, 1, 1), dt.date(1997, 1, 1)]
+    return partials.summary(kept).withColumn("days", F.lit("all")).unionByName(
+        partials.summary(kept, two).withColumn("days", F.lit("1996 to 1997")))
