@@ -1,10 +1,10 @@
 """KPIs from daily partials: what a day adds to revenue, items and distinct counts, so that a KPI row reads days, not lines.
 
 A day's partial has one row for each kind of id (products, orders) and each 32,768 neighbouring ids: a bitmap of the ids that
-occur (32,768 bits, stored as hexadecimal text), and for products the sums of their lines. Bitmaps of several days merge by or, so distinct counts over any
-days are exact although an order or product may occur on several of them; sums merge by addition. A day that is loaded
-again replaces its partial. Ids must be whole numbers; for keys that are text, a :class:`martworks.sources.key_index.KeyIndex`
-counts distinct ones without reading lines.
+occur, stored as hexadecimal text, and for products the sums of their lines. Bitmaps of several days merge by or, so distinct
+counts over any days are exact although an order or product may occur on several of them; sums merge by addition. A day that
+is loaded again replaces its partial. Ids must be whole numbers; for keys that are text, a
+:class:`martworks.sources.key_index.KeyIndex` counts distinct ones without reading lines.
 """
 
 from __future__ import annotations
