@@ -202,6 +202,30 @@ def fill_nulls(df: DataFrame, values: Mapping[str, Any]) -> DataFrame:
     return df.withColumns(new) if new else df
 
 
+def _texts(schema: T.StructType) -> list[str]:
+    return [f.name for f in schema.fields if f.dataType == T.StringType()]
+
+
+def packed(df: DataFrame) -> DataFrame:
+    """Texts as binaries that are equal when the texts are, digests in hex at half their length; for a shuffle.
+
+    Digests come first, then other texts; within both the order is that of the texts.
+    """
+    digest = lambda c: F.concat(F.lit(b"\0"), F.unhex(c))
+    other = lambda c: F.concat(F.lit(b"\1"), c.cast("binary"))
+    found = {c: F.when(quoted(c).rlike("^(?:[0-9a-f][0-9a-f])+$"), digest(quoted(c))).otherwise(other(quoted(c)))
+             for c in _texts(df.schema)}
+    return df.withColumns(found) if found else df
+
+
+def unpacked(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The texts of :func:`packed` again; ``schema`` is that of the frame before."""
+    rest = lambda c: F.substring(c, 2, 2_147_483_647)
+    found = {c: F.when(F.substring(quoted(c), 1, 1) == F.lit(b"\0"), F.lower(F.hex(rest(quoted(c)))))
+             .otherwise(rest(quoted(c)).cast("string")) for c in _texts(schema)}
+    return df.withColumns(found) if found else df
+
+
 def stamp_ds(df: DataFrame, ds: str | dt.date) -> DataFrame:
     """Set the batch day, replacing any ``ds`` column."""
     return df.withColumn("ds", F.lit(parse_ds(ds)).cast("date"))

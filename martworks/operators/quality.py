@@ -1,7 +1,8 @@
 """Data-quality rules: violating rows, a one-row-per-test report, quarantine and gate.
 
 All row rules of a frame are evaluated in one pass. Key and reference rules merge equal keys before they shuffle, so a
-key that holds much of the data costs one row per task.
+key that holds much of the data costs one row per task. What they find can be stored (:func:`keyed_violations`), so that
+the report and the quarantine of one frame shuffle its keys once.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 
 from martworks.functions.paths import quoted
 from martworks.functions.scalars import parse_ds
+from martworks.operators.project import packed, unpacked
+from martworks.session import TABLE_CODEC
 
 PASS, FAIL, SKIPPED = "pass", "fail", "skipped"
 
@@ -169,8 +172,8 @@ def key_violations(df: DataFrame, rule: KeyRule) -> DataFrame:
     """Repeated keys and how often each occurs, ``n_records``."""
     keys = [quoted(c) for c in rule.columns]
     rows = df if rule.nulls_equal else df.where(reduce(and_, (k.isNotNull() for k in keys)))
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_records"))
-    return sizes.where(F.col("n_records") > 1)
+    sizes = packed(rows.select(*keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_records"))
+    return unpacked(sizes.where(F.col("n_records") > 1), rows.select(*keys).schema)
 
 
 def reference_violations(df: DataFrame, rule: ReferenceRule) -> DataFrame:
@@ -181,16 +184,25 @@ def reference_violations(df: DataFrame, rule: ReferenceRule) -> DataFrame:
     return held.join(parents, key, "left_anti")
 
 
-def violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def keyed_violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame | None:
+    """Violations of the key and reference rules alone, to be stored for ``found``; None if there are no such rules."""
+    usable = [r for r in applicable(df, rules)[0] if not isinstance(r, RowRule)]
+    return violations(df, usable) if usable else None
+
+
+def _keyed(df: DataFrame, rule: KeyRule | ReferenceRule, found: DataFrame | None) -> DataFrame:
+    """Violations of one key or reference rule, taken from ``found`` where they were stored."""
+    if found is not None:
+        return found.where(F.col("test_name") == rule.name).select(*map(quoted, rule.columns), "n_records")
+    return key_violations(df, rule) if isinstance(rule, KeyRule) else reference_violations(df, rule)
+
+
+def violations(df: DataFrame, rules: Sequence[Rule], found: DataFrame | None = None) -> DataFrame:
     """Violations of all rules in one typed frame: whole rows for row rules, key and ``n_records`` for the others."""
     usable, _ = applicable(df, rules)
     row_rules = [r for r in usable if isinstance(r, RowRule)]
     frames = [row_violations(df, row_rules)] if row_rules else []
-    for rule in usable:
-        if isinstance(rule, KeyRule):
-            frames.append(key_violations(df, rule).withColumn("test_name", F.lit(rule.name)))
-        elif isinstance(rule, ReferenceRule):
-            frames.append(reference_violations(df, rule).withColumn("test_name", F.lit(rule.name)))
+    frames += [_keyed(df, r, found).withColumn("test_name", F.lit(r.name)) for r in usable if not isinstance(r, RowRule)]
     if not frames:
         return df.where(F.lit(False)).withColumn("test_name", F.lit(None).cast("string"))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -198,7 +210,7 @@ def violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 # -- report, quarantine, gate ------------------------------------------------------------------------------------------
 
-def failures(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def failures(df: DataFrame, rules: Sequence[Rule], found: DataFrame | None = None) -> DataFrame:
     """(test_name, failures) per rule that applies."""
     row_rules = [r for r in rules if isinstance(r, RowRule)]
     frames = []
@@ -208,24 +220,26 @@ def failures(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     for rule in rules:
         if isinstance(rule, KeyRule):
             size = F.sum(F.col("n_records") - 1) if rule.count_rows else F.count(F.lit(1))
-            found = key_violations(df, rule).agg(size.alias("failures"))
         elif isinstance(rule, ReferenceRule):
-            found = reference_violations(df, rule).agg(F.sum("n_records").alias("failures"))
+            size = F.sum("n_records")
         else:
             continue
         frames.append(
-            found.select(F.lit(rule.name).alias("test_name"), F.coalesce("failures", F.lit(0)).alias("failures"))
+            _keyed(df, rule, found).agg(size.alias("failures"))
+            .select(F.lit(rule.name).alias("test_name"), F.coalesce("failures", F.lit(0)).alias("failures"))
         )
     return reduce(DataFrame.unionByName, frames)
 
 
-def report(df: DataFrame, rules: Sequence[Rule], layer: str, resource: str, ds: str | dt.date) -> DataFrame:
+def report(
+    df: DataFrame, rules: Sequence[Rule], layer: str, resource: str, ds: str | dt.date, found: DataFrame | None = None
+) -> DataFrame:
     """(test_name, layer, resource, ds, status, failures); rules that lack a column are reported as skipped."""
     usable, skipped = applicable(df, rules)
     frames = []
     if usable:
         status = F.when(F.col("failures") > 0, FAIL).otherwise(PASS)
-        frames.append(failures(df, usable).select("test_name", status.alias("status"), "failures"))
+        frames.append(failures(df, usable, found).select("test_name", status.alias("status"), "failures"))
     if skipped:
         frames.append(
             df.sparkSession.createDataFrame(
@@ -257,11 +271,11 @@ def write_report(reports: DataFrame, path: str, layer: str, resource: str, ds: s
 
 
 def quarantine_rows(
-    df: DataFrame, rules: Sequence[Rule], layer: str, resource: str, ds: str | dt.date
+    df: DataFrame, rules: Sequence[Rule], layer: str, resource: str, ds: str | dt.date, found: DataFrame | None = None
 ) -> DataFrame:
     """Violations stamped with where they came from. The batch's own ``ds`` column, if any, is kept as ``row_ds``."""
-    found = violations(df, rules).withColumnsRenamed({"ds": "row_ds"})
-    return found.withColumns({
+    rows = violations(df, rules, found).withColumnsRenamed({"ds": "row_ds"})
+    return rows.withColumns({
         "layer": F.lit(layer),
         "resource": F.lit(resource),
         "ds": F.lit(parse_ds(ds)),
@@ -269,7 +283,8 @@ def quarantine_rows(
 
 
 def quarantine(
-    df: DataFrame, rules: Sequence[Rule], path: str, layer: str, resource: str, ds: str | dt.date
+    df: DataFrame, rules: Sequence[Rule], path: str, layer: str, resource: str, ds: str | dt.date,
+    found: DataFrame | None = None,
 ) -> int:
     """Write violations to ``<path>/<layer>/<resource>/ds=<ds>/test_name=…``; returns the number of tests written.
 
@@ -277,8 +292,8 @@ def quarantine(
     replaced, also when no rule fails any more.
     """
     target = f"{path}/{layer}/{resource}/ds={parse_ds(ds)}"
-    rows = quarantine_rows(df, rules, layer, resource, ds).drop("layer", "resource", "ds")
-    rows.write.mode("overwrite").partitionBy("test_name").parquet(target)
+    rows = quarantine_rows(df, rules, layer, resource, ds, found).drop("layer", "resource", "ds")
+    rows.write.mode("overwrite").option("compression", TABLE_CODEC).partitionBy("test_name").parquet(target)
     return len(rules)
 
 

@@ -8,15 +8,19 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from contextlib import nullcontext
 from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martworks.functions.scalars import batch_day
 from martworks.operators.project import apply_config, stamp_ds
-from martworks.operators.quality import ReferenceRule, Rule, basic_checks, enforce, failed_rules, quarantine, report, write_report
+from martworks.operators.quality import (
+    ReferenceRule, Rule, basic_checks, enforce, failed_rules, keyed_violations, quarantine, report, write_report,
+)
 from martworks.operators.reshape import explode_items
 from martworks.plans import marts, rules
 from martworks.plans.resources import CONFIGS, PRIMARY_KEYS, RAW_SCHEMAS, RESOURCES
@@ -70,10 +74,15 @@ def transform(lake: Lake, resource: str, ds: str | dt.date | None = None) -> Non
 
 
 def check(lake: Lake, layer: str, resource: str, ds: dt.date, df: DataFrame, rule_list: list[Rule]) -> DataFrame:
-    """Store the report of one frame and the violations of its failed rules; returns the stored report."""
-    found = report(df, rule_list, layer, resource, ds)
-    stored = write_report(found, f"{lake.root}/dq_report", layer, resource, ds)
-    quarantine(df, failed_rules(stored, rule_list), f"{lake.root}/quarantine", layer, resource, ds)
+    """Store the report of one frame and the violations of its failed rules; returns the stored report.
+
+    What key and reference rules find is stored first, so both take it from there and the keys are shuffled once.
+    """
+    keyed = keyed_violations(df, rule_list)
+    with nullcontext() if keyed is None else tables.staged(keyed, "keyed") as found:
+        reports = report(df, rule_list, layer, resource, ds, found)
+        stored = write_report(reports, f"{lake.root}/dq_report", layer, resource, ds)
+        quarantine(df, failed_rules(stored, rule_list), f"{lake.root}/quarantine", layer, resource, ds, found)
     return stored
 
 
@@ -144,11 +153,15 @@ def check_l1(lake: Lake, ds: str | dt.date | None = None, scope: str = "table")
 
 
 def build(lake: Lake, batch_ds: str | dt.date | None = None, latest_product: bool = False) -> None:
-    """Rebuild the marts from all rows, or from one batch. The fact is stored by batch day."""
+    """Rebuild the marts from all rows, or from one batch. The fact is stored by batch day.
+
+    Lines without a product meet none, so they stay out of the join and its shuffle.
+    """
     products = marts.stg_products(lake.table("l1", "products"), batch_ds)
     carts = marts.stg_carts(lake.table("l1", "carts"), batch_ds)
     tables.materialize_table(marts.dim_product(products, latest_product), f"{lake.l2}.dim_product")
-    fact = marts.fact_sales(carts, products, latest_product)
+    sold, unsold = carts.where(F.col("product_id").isNotNull()), carts.where(F.col("product_id").isNull())
+    fact = marts.fact_sales(sold, products, latest_product).unionByName(marts.fact_sales(unsold, products.limit(0), latest_product))
     tables.materialize_table(fact, f"{lake.l2}.fact_sales", "load_ds", many_days=batch_ds is None)
 
 

@@ -31,6 +31,11 @@ CLUSTER_SIZING = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
 }
 
+# Codecs of what is written: digests hold four bits in each character, and JSON and CSV repeat names and days.
+TABLE_CODEC, TEXT_CODEC = "zstd", "gzip"
+# Records of one landed file. A compressed file is read by one task.
+FILE_RECORDS = 250_000
+
 
 def build(app_name: str = "martworks", master: str | None = None, cores: int = 8) -> SparkSession:
     """Session for a cluster (``master=None``) or for a ``local[n]`` master."""

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from martworks.functions.paths import quoted
 from martworks.functions.scalars import on_day
+from martworks.operators.project import packed, unpacked
+from martworks.session import FILE_RECORDS, TEXT_CODEC
 
 
 def _of_day(df: DataFrame, column: str, ds: str | dt.date) -> DataFrame:
@@ -20,10 +22,11 @@ def _of_day(df: DataFrame, column: str, ds: str | dt.date) -> DataFrame:
 def export_fact(fact: DataFrame, ds: str | dt.date) -> DataFrame:
     """Sales of one batch by (transaction_date, product_id), nulls last.
 
-    The key column ends the order: it makes ties stable and lets the range sort split a day that sold one product.
+    The key column ends the order: it makes ties stable and lets the range sort split a day that sold one product. Texts
+    are packed for the sort, so keys that are digests come before others.
     """
     order = [F.asc_nulls_last(c) for c in ("transaction_date", "product_id", "transaction_id") if c in fact.columns]
-    return _of_day(fact, "load_ds", ds).orderBy(*order)
+    return unpacked(packed(_of_day(fact, "load_ds", ds)).orderBy(*order), fact.schema)
 
 
 def export_dim(dim: DataFrame, ds: str | dt.date) -> DataFrame:
@@ -50,8 +53,9 @@ _CSV = {
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with header; an ordered frame gives part files in order. Texts come back as they were, line breaks included."""
-    df.write.mode("overwrite").options(**_CSV).csv(path)
+    """Compressed CSV with header; an ordered frame gives part files in order. Texts come back as they were, line breaks
+    included."""
+    df.write.mode("overwrite").options(**_CSV, compression=TEXT_CODEC, maxRecordsPerFile=FILE_RECORDS).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

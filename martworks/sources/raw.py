@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from martworks.functions.paths import quoted
 from martworks.functions.scalars import parse_ds
+from martworks.session import FILE_RECORDS, TABLE_CODEC, TEXT_CODEC
 
 META_SCHEMA = T.StructType([
     T.StructField("source", T.StringType()),
@@ -93,14 +94,15 @@ def unwrap(df: DataFrame) -> DataFrame:
 def write_raw(
     records: DataFrame, root: str, resource: str, ds: str | dt.date, source: str, fetched_at: dt.datetime | None = None
 ) -> int:
-    """Land records as JSON lines under their day, and one meta row (source, fetched_at, count) beside them.
+    """Land records as compressed JSON lines under their day, and one meta row (source, fetched_at, count) beside them.
 
     The count is observed in the writing job itself, so the records are computed once.
     """
     spark = records.sparkSession
     seen = Observation("records")
     counted = records.observe(seen, F.count(F.lit(1)).alias("count"))
-    counted.write.mode("overwrite").json(day_path(root, "raw", resource, ds))
+    writer = counted.write.mode("overwrite").options(compression=TEXT_CODEC, maxRecordsPerFile=FILE_RECORDS)
+    writer.json(day_path(root, "raw", resource, ds))
     count = seen.get["count"]
     stamp = (fetched_at or dt.datetime.now(dt.timezone.utc)).strftime("%Y-%m-%dT%H:%M:%SZ")
     meta = spark.createDataFrame([(source, stamp, count)], META_SCHEMA)
@@ -122,7 +124,7 @@ def write_staging(df: DataFrame, root: str, resource: str) -> None:
     """Staging Parquet by day. Only the days in ``df`` are replaced; the write needs no shuffle."""
     (
         df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .options(partitionOverwriteMode="dynamic", compression=TABLE_CODEC)
         .partitionBy("ds")
         .parquet(f"{root}/staging/{resource}")
     )
@@ -130,7 +132,7 @@ def write_staging(df: DataFrame, root: str, resource: str) -> None:
 
 def write_staging_day(df: DataFrame, root: str, resource: str, ds: str | dt.date) -> None:
     """Staging Parquet of one day, replaced as a whole, so a day landed again without records is empty afterwards."""
-    df.drop("ds").write.mode("overwrite").parquet(day_path(root, "staging", resource, ds))
+    df.drop("ds").write.mode("overwrite").option("compression", TABLE_CODEC).parquet(day_path(root, "staging", resource, ds))
 
 
 def read_staging(

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martworks.functions.paths import is_nested, quoted
-from martworks.session import scratch_dir, setting
+from martworks.session import TABLE_CODEC, scratch_dir, setting
 
 PARTITION = "ds"
 
@@ -134,7 +134,7 @@ def sync_table(spark: SparkSession, table: str, df: DataFrame, partition_by: str
     if not table_exists(spark, table):
         columns = ", ".join(f"{sql_name(name)} {dtype}" for name, dtype in fields.items())
         parts = f" PARTITIONED BY ({sql_name(partition_by)})" if partition_by in fields else ""
-        spark.sql(f"CREATE TABLE {sql_name(table)} ({columns}) USING parquet{parts} "
+        spark.sql(f"CREATE TABLE {sql_name(table)} ({columns}) USING parquet OPTIONS (compression '{TABLE_CODEC}'){parts} "
                   f"LOCATION '{table_location(spark, table)}'")
         return
     known = {name.lower() for name in table_columns(spark, table)}
@@ -162,7 +162,8 @@ def materialize_table(
 ) -> DataFrame:
     """Full rebuild of a mart; ``many_days`` gathers the rows by partition, which one batch does not need."""
     rows = by_day(df, partition_by) if partition_by and many_days else df
-    writer = rows.write.mode("overwrite").format("parquet").option("path", table_location(df.sparkSession, table))
+    writer = rows.write.mode("overwrite").format("parquet").options(
+        path=table_location(df.sparkSession, table), compression=TABLE_CODEC)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.saveAsTable(table)

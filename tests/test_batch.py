@@ -5,6 +5,8 @@ import uuid
 
 import pytest
 
+from martworks.operators import quality
+from martworks.operators.project import packed, unpacked
 from martworks.operators.quality import QualityError
 from martworks.plans import batch
 from martworks.sources import raw, tables
@@ -97,3 +99,47 @@ def test_load_modes(lake, rows, mode, expected):
 def test_unknown_mode(lake):
     with pytest.raises(ValueError):
         batch.load(lake, "products", DAY, "merge")
+
+
+def test_keys_are_counted_once_and_lines_without_product_stay(lake, rows, monkeypatch):
+    seen = []
+    found = quality.key_violations
+    monkeypatch.setattr(quality, "key_violations", lambda df, rule: seen.append(rule.name) or found(df, rule))
+    items = '[{"productId": 1, "quantity": 2}, {"productId": 1, "quantity": 5}, {"quantity": 3}, {"quantity": 3}]'
+    land(lake, DAY, items=items)
+    report = batch.run_day(lake, DAY, gate=False)
+    assert all(seen.count(name) == 1 for name in (
+        "carts_unique_cart_id_product_id", "carts_compound_pk", "fact_sales_unique_transaction_id"))
+    told = {r.test_name: r.failures for r in report.collect() if r.failures}
+    assert told == {
+        "carts_unique_cart_id_product_id": 2, "carts_compound_pk": 2, "fact_sales_unique_transaction_id": 2,
+        "carts_not_null_product_id": 2, **{f"fact_sales_not_null_{c}": 2 for c in ("product_id", "price", "total_sales")},
+    }
+    kept = lake.spark.read.parquet(f"{lake.root}/quarantine/l2/fact_sales/ds={DAY}").where(
+        "test_name = 'fact_sales_unique_transaction_id'")
+    ids = [r[0] for r in lake.table("l2", "fact_sales").select("transaction_id").distinct().collect()]
+    assert rows(kept, "transaction_id", "n_records") == sorted((i, 2) for i in ids)
+    assert rows(lake.table("l2", "fact_sales"), "product_id", "product_name") == sorted(
+        [(1, "item 1"), (1, "item 1"), (None, None), (None, None)], key=repr)
+
+
+def test_landed_and_exported_files_are_compressed(lake, tmp_path):
+    land(lake, DAY)
+    batch.run_day(lake, DAY)
+    assert list((tmp_path / "lake/raw").rglob("part-*.json.gz")) and not list((tmp_path / "lake/raw").rglob("part-*.json"))
+    assert list((tmp_path / "lake/exports").rglob("part-*.csv.gz")) and not list((tmp_path / "lake").rglob("part-*.csv"))
+    for resource in ("staging/carts", f"{lake.l1}/carts", f"{lake.l2}/fact_sales"):
+        assert list((tmp_path / "lake" / resource).rglob("*.zstd.parquet"))
+
+
+def test_packed_texts_come_back_in_their_order(spark):
+    texts = [None, "", "0", "00", "0a", "0A", "ab", "abc", "abcd", "zz", "é", " ff", "ff\nff", "ff\n", "00ff" * 8, "00ff" * 8]
+    df = spark.createDataFrame([(t, k) for k, t in enumerate(texts)], "t string, k int")
+    small = packed(df)
+    assert sorted(map(tuple, unpacked(small, df.schema).collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+    assert small.where("t is not null").selectExpr("max(length(t))").first()[0] == 17
+    assert small.groupBy("t").count().count() == len(set(texts))
+    digests = ["00", "0a", "ab", "abcd", "00ff" * 8, "00ff" * 8]
+    others = [t for t in texts if t is not None and t not in digests]
+    assert [r.t for r in unpacked(small.orderBy("t"), df.schema).collect()] == [
+        None, *sorted(digests), *sorted(others, key=lambda t: t.encode())]
