@@ -33,6 +33,9 @@ from martworks.llm.scratch import Scratch, only
 from martworks.llm.words import Texts, mix
 
 COORDINATES, ROWS = 128, 4
+# Further flipped bits of the members of unsettled buckets: many of their pairs differ by little more than the bound allows.
+# With 4,096 bits such pairs are told apart before prefixes and texts are shuffled for them.
+WIDE = (ngram_join.WIDE[0], (48, 64))
 
 
 _U = np.uint32
@@ -116,7 +119,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     first = components(scratch, links, "first")
     open_ids = _unsettled(scratch, members, first)
     rest = texts_of(known, open_ids)
-    _, sets = ngram_join.sketches(scratch, rest, size, percent, "rest")
+    _, sets = ngram_join.sketches(scratch, rest, size, percent, "rest", WIDE)
     labels = ngram_join.connected(scratch, sets, rest, size, percent, "round", first)
     scratch.drop(members, centres, links, sets)
     found = classes.select("digest", "rep").join(labels, F.col("rep") == F.col("node"), "left").select(

@@ -116,9 +116,9 @@ def flipped_bits(shingles: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.packbits(own.astype(np.uint8).reshape(n, 64 * WORDS), axis=1).view(np.int64)
 
 
-def wide_bits(shingles: np.ndarray) -> np.ndarray | None:
+def wide_bits(shingles: np.ndarray, wide: tuple = WIDE) -> np.ndarray | None:
     """Further flipped bits of one set as 64-bit words; none for a set that :func:`flipped_bits` tells apart well."""
-    for least, words in WIDE:
+    for least, words in wide:
         if len(shingles) > least:
             bit = (mix(shingles ^ np.uint64(0x5A5A5A5A5A5A5A5A)) % np.uint64(64 * words)).astype(np.int64)
             return np.packbits((np.bincount(bit, minlength=64 * words) & 1).astype(np.uint8)).view(np.int64)
@@ -131,7 +131,7 @@ def _lists(sets: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, values.view(np.int64))
 
 
-def _sketch(size: int, percent: int, classes: np.ndarray):
+def _sketch(size: int, percent: int, classes: np.ndarray, widths: tuple):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             shingles, at = shingle_sets(Texts.of(batch.column("text")), size)
@@ -139,7 +139,7 @@ def _sketch(size: int, percent: int, classes: np.ndarray):
                        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             lists = [_lists(sets) for sets in prefixes(shingles, at, percent, classes)]
             bits = flipped_bits(shingles, at)
-            wide = [wide_bits(shingles[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+            wide = [wide_bits(shingles[a:b], widths) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             yield pa.record_batch([batch.column("doc_id"), pa.array(np.diff(at), pa.int64()), pa.array(digests, pa.binary()),
                                    *lists, *(pa.array(bits[:, k]) for k in range(WORDS)),
                                    pa.array(wide, pa.list_(pa.int64()))],
@@ -154,10 +154,14 @@ _SCHEMA = ", ".join(["doc_id long, n long, digest binary", *(f"{n} array<long>"
                      "wide array<long>"])
 
 
-def sketches(scratch: Scratch, rows: DataFrame, size: int, percent: int, name: str) -> tuple[DataFrame, DataFrame]:
-    """Size, digest and prefixes of each row's set (``rows``: ``doc_id, text``), and one row ``rep`` for each set."""
+def sketches(scratch: Scratch, rows: DataFrame, size: int, percent: int, name: str,
+             wide: tuple = WIDE) -> tuple[DataFrame, DataFrame]:
+    """Size, digest and prefixes of each row's set (``rows``: ``doc_id, text``), and one row ``rep`` for each set.
+
+    ``wide`` tells which sets have how many further bits.
+    """
     classes = classes_of_cells(scratch, rows, size, name)
-    own = scratch.keep(f"{name}-sketches", rows.mapInArrow(_sketch(size, percent, classes), _SCHEMA))
+    own = scratch.keep(f"{name}-sketches", rows.mapInArrow(_sketch(size, percent, classes, wide), _SCHEMA))
     sets = scratch.keep(f"{name}-sets", own.where("doc_id is not null and n > 0").groupBy("digest").agg(
         F.min("doc_id").alias("rep"), *(F.first(c).alias(c) for c in ("n", *_NAMES, *_BITS, "wide"))))
     return own.select("doc_id", "n", "digest"), sets

@@ -160,3 +160,18 @@ def test_components_of_long_chains(spark, tmp_path):
 def test_query_over_the_whole_table(spark):
     docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     assert component_rows(QUERIES["op2_minhash_near_dedup"](spark, "/root/testdata/sf0.001")) == brute(docs, 2)
+
+
+def test_pairs_just_below_the_bound_are_told_apart_by_bits(spark):
+    """Members of an unsettled bucket with a similarity of 0.76 are no candidates any more when their prefixes are read."""
+    common = [f"c{k}" for k in range(131)]
+    rows = [(k, " ".join(common + [f"d{k}x{j}" for j in range(20)])) for k in range(30)]  # 130 of 170 shingles are common
+    scratch, docs = Scratch(spark, "bits"), spark.createDataFrame(rows, "doc_id long, text string")
+    left = {}
+    for name, wide in (("before", ngram_join.WIDE), ("now", near_dedup.WIDE)):
+        _, sets = ngram_join.sketches(scratch, docs, 2, 80, name, wide)
+        pairs = sets.selectExpr("rep a").crossJoin(sets.selectExpr("rep b")).where("a < b")
+        part = scratch.within(name)
+        ngram_join._filtered(part, pairs, sets, 80)
+        left[name] = part.frames[f"{part.base}/near"].count()
+    assert left["before"] > 0 and left["now"] == 0, left
