@@ -213,7 +213,7 @@ def packed(df: DataFrame) -> DataFrame:
     """
     digest = lambda c: F.concat(F.lit(b"\0"), F.unhex(c))
     other = lambda c: F.concat(F.lit(b"\1"), c.cast("binary"))
-    found = {c: F.when(quoted(c).rlike("^(?:[0-9a-f][0-9a-f])+$"), digest(quoted(c))).otherwise(other(quoted(c)))
+    found = {c: F.when(quoted(c).rlike(r"\A(?:[0-9a-f][0-9a-f])+\z"), digest(quoted(c))).otherwise(other(quoted(c)))
              for c in _texts(df.schema)}
     return df.withColumns(found) if found else df
 
