@@ -6,10 +6,11 @@ the texts of the members pass by; a centre's text is sent once for each ``PER_CE
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +21,20 @@ from martworks.llm.words import Texts, mix, starts_of_windows, window_hashes, wo
 PER_CENTRE = 1000
 # Ids up to this number (8 bytes each) are broadcast to choose the texts to verify; more are joined by a shuffle.
 BROADCAST_IDS = 4_000_000
+# Bytes of text whose words a task holds at once: their positions, hashes and shingles take some 30 times as much.
+BLOCK = 1 << 20
+
+
+def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches, one after the other, with at most ``BLOCK`` bytes of ``text`` or one row; nothing is copied."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        at = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+        lo = 0
+        while lo < batch.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(at, at[lo] + BLOCK, side="right")) - 1)
+            yield batch.slice(lo, hi - lo)
+            lo = hi
 
 
 def shingle_sets(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -70,7 +85,7 @@ def texts_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
 def _verify(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centre, sets = None, []
-        for batch in batches:
+        for batch in blocks(batches):
             shingles, at = shingle_sets(Texts.of(batch.column("text")), size)
             links = []
             for k, (a, b, member) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "b", "member")), strict=True)):

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from martworks.llm import ngram_join
 from martworks.llm.components import components
-from martworks.llm.linking import close_in_size, shingle_sets, texts_of, verified
+from martworks.llm.linking import blocks, close_in_size, shingle_sets, texts_of, verified
 from martworks.llm.scratch import Scratch, only
 from martworks.llm.words import Texts, mix
 
@@ -72,7 +72,7 @@ def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
 
 def _sketch(size: int, coordinates: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in blocks(batches):
             shingles, at = shingle_sets(Texts.of(batch.column("text")), size)
             n = np.diff(at)
             digests = [hashlib.blake2b(shingles[a:b].tobytes(), digest_size=16).digest() if b > a else None

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martworks.llm.components import components
-from martworks.llm.linking import close_in_size, shingle_sets, texts_of, verified
+from martworks.llm.linking import blocks, close_in_size, shingle_sets, texts_of, verified
 from martworks.llm.scratch import Scratch, only
 from martworks.llm.words import Texts, mix
 
@@ -58,7 +58,7 @@ def _cells(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << CELL_BITS, np.int64)
-        for batch in batches:
+        for batch in blocks(batches):
             shingles, _ = shingle_sets(Texts.of(batch.column("text")), size)
             total += np.bincount((shingles >> _TOP).astype(np.int64), minlength=len(total))
         if total.any():
@@ -133,7 +133,7 @@ def _lists(sets: list[np.ndarray]) -> pa.Array:
 
 def _sketch(size: int, percent: int, classes: np.ndarray, widths: tuple):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in blocks(batches):
             shingles, at = shingle_sets(Texts.of(batch.column("text")), size)
             digests = [hashlib.blake2b(shingles[a:b].tobytes(), digest_size=16).digest() if b > a else None
                        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
@@ -225,9 +225,13 @@ def _merged(scratch: Scratch, labels: DataFrame | None, links: DataFrame) -> Dat
 
 def connected(scratch: Scratch, sets: DataFrame, known: DataFrame, size: int, percent: int, name: str,
               labels: DataFrame | None = None) -> DataFrame:
-    """``node, label`` of all linked ``sets``, going on from ``labels``: the rounds of step 4."""
+    """``node, label`` of all linked ``sets``, going on from ``labels``: the rounds of step 4.
+
+    Who gives ``labels`` has compared members with one centre already, so the round with one centre is left out.
+    """
     step = scratch.within(f"{name}-start")
-    members, turn, centres = step.keep("members", _buckets(sets)), 0, 1
+    members = step.keep("members", _buckets(sets))
+    turn, centres = (0, 1) if labels is None else (1, MORE_CENTRES)
     bits = sets.select("rep", *_BITS)
     while True:
         before, step = step, scratch.within(f"{name}-{turn}")

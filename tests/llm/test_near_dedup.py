@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -175,3 +176,52 @@ def test_pairs_just_below_the_bound_are_told_apart_by_bits(spark):
         ngram_join._filtered(part, pairs, sets, 80)
         left[name] = part.frames[f"{part.base}/near"].count()
     assert left["before"] > 0 and left["now"] == 0, left
+
+
+def test_a_task_holds_the_words_of_a_few_texts_at_once():
+    """The memory of a batch of 8 MB is that of its texts, not of all its words at once; texts longer than a block are whole."""
+    some = [prose(k, 600, 10_000) for k in range(200)]
+    rows = [(k, some[k % 200]) for k in range(2000)] + [(2000, None), (2001, ""), (2002, prose(7, 300_000, 10_000))]
+    batch = pa.record_batch([pa.array([k for k, _ in rows], pa.int64()), pa.array([t for _, t in rows], pa.string())],
+                            ["doc_id", "text"])
+    assert batch.column("text").nbytes > 8 * linking.BLOCK // 2
+    classes = np.zeros((len(ngram_join.ORDERS), 1 << ngram_join.CELL_BITS), np.uint8)
+    for run, most in ((near_dedup._sketch(2, 128, 4), 48), (ngram_join._sketch(2, 80, classes, near_dedup.WIDE), 64)):
+        few = [r["doc_id"] for part in run(iter([batch.slice(0, 2002)])) for r in part.select(["doc_id"]).to_pylist()]
+        assert few == [k for k, _ in rows[:2002]]
+        tracemalloc.start()
+        for _ in run(iter([batch.slice(0, 2000)])):
+            pass
+        peak = tracemalloc.get_traced_memory()[1] >> 20
+        tracemalloc.stop()
+        assert peak < most, peak
+        whole = [part.to_pylist() for part in run(iter([batch.slice(2000)]))]
+        assert [r["n"] for part in whole for r in part][:2] == [0, 0] and sum(map(len, whole)) == 3
+
+
+def test_blocks_are_all_rows_in_order(monkeypatch):
+    monkeypatch.setattr(linking, "BLOCK", 10)
+    for values in ([], [None], ["a" * 30], [None, "abc", "defgh", "ij", "k", "", None, "x" * 11, "y"], ["\u00e9" * 5, "z"]):
+        batch = pa.record_batch([pa.array(values, pa.string())], ["text"])
+        parts = list(linking.blocks([batch, batch.slice(1)]))
+        assert [v for p in parts for v in p.column("text").to_pylist()] == values + values[1:]
+        sizes = [(p.num_rows, sum(len((v or "").encode()) for v in p.column("text").to_pylist())) for p in parts]
+        assert all(n == 1 or size <= 10 for n, size in sizes)
+
+
+def test_labelled_sets_need_no_round_with_one_centre(spark, monkeypatch):
+    class Reached(Exception):
+        pass
+
+    def seen(rows, turn, centres):
+        raise Reached(turn, centres)
+
+    monkeypatch.setattr(ngram_join, "_centres", seen)
+    monkeypatch.setattr(ngram_join, "EASY", 0)
+    rows = [(k, " ".join([f"c{j}" for j in range(40)] + [f"d{k}x{j}" for j in range(20)])) for k in range(8)]
+    scratch, docs = Scratch(spark, "turns"), spark.createDataFrame(rows, "doc_id long, text string")
+    _, sets = ngram_join.sketches(scratch, docs, 2, 80, "rest", near_dedup.WIDE)
+    for labels, first in ((None, (0, 1)), (ngram_join._no_labels(scratch), (1, ngram_join.MORE_CENTRES))):
+        with pytest.raises(Reached) as reached:
+            ngram_join.connected(scratch, sets, docs, 2, 80, "round", labels)
+        assert reached.value.args == first
