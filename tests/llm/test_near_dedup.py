@@ -218,7 +218,7 @@ def test_labelled_sets_need_no_round_with_one_centre(spark, monkeypatch):
 
     monkeypatch.setattr(ngram_join, "_centres", seen)
     monkeypatch.setattr(ngram_join, "EASY", 0)
-    rows = [(k, " ".join([f"c{j}" for j in range(40)] + [f"d{k}x{j}" for j in range(20)])) for k in range(8)]
+    rows = [(k, " ".join([f"c{j}" for j in range(131)] + [f"d{k}x{j}" for j in range(20)])) for k in range(8)]
     scratch, docs = Scratch(spark, "turns"), spark.createDataFrame(rows, "doc_id long, text string")
     _, sets = ngram_join.sketches(scratch, docs, 2, 80, "rest", near_dedup.WIDE)
     for labels, first in ((None, (0, 1)), (ngram_join._no_labels(scratch), (1, ngram_join.MORE_CENTRES))):
