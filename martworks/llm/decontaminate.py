@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martworks.llm.linking import blocks
 from martworks.llm.scratch import only
 
 Q = 10
@@ -33,10 +34,11 @@ SEGMENT, STEP = 100, 16
 EDITS, EXACT_BELOW = 0.08, 30
 # Characters of the benchmark that one pass sends to the tasks, about; its index takes some 30 bytes for each.
 BLOCK_CHARACTERS = 2_000_000
-# Characters of documents that are handled at once; longer texts are handled in pieces that overlap by more than a match.
-CHUNK, OVERLAP = 1_500_000, 4 * SEGMENT
+# Characters of documents that are handled at once, with some 100 bytes for each; longer texts are handled in pieces that
+# overlap by more than a match.
+CHUNK, OVERLAP = 150_000, 4 * SEGMENT
 # Shared q-grams that are counted at once, about.
-HITS = 1_000_000
+HITS = 100_000
 # Diagonals begin below 0 where a match begins before the text.
 _OFFSET = 4 * SEGMENT
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -221,7 +223,7 @@ def found_in(segments: Segments, texts: list) -> dict[tuple[int, int], dict[int,
 def _search(items: list[tuple[int, str]], edits: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segments = Segments(items, edits)
-        for batch in batches:
+        for batch in blocks(batches):
             ids = batch.column("doc_id").to_pylist()
             rows = [(ids[k], item, len(own), min(b for _, b, _ in own.values()), max(c for _, _, c in own.values()),
                      min(a for a, _, _ in own.values()))
@@ -235,7 +237,7 @@ def _search(items: list[tuple[int, str]], edits: float):
 def _without(items: list[tuple[int, str]], edits: float, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segments = Segments(items, edits)
-        for batch in batches:
+        for batch in blocks(batches, text_col):
             leaking = {k for k, _ in found_in(segments, batch.column(text_col).to_pylist())}
             yield batch.filter(pa.array([k not in leaking for k in range(batch.num_rows)], pa.bool_()))
 
@@ -249,9 +251,9 @@ def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str, block_chara
     """Items of the benchmark, by blocks of about so many characters; one empty block if there are none."""
     known = only(benchmark, item_id=item_col, text=item_text_col).where("text is not null and item_id is not null")
     characters = known.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, -(-characters // block_characters))
-    for block in range(blocks):
-        own = known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block) if blocks > 1 else known
+    passes = max(1, -(-characters // block_characters))
+    for block in range(passes):
+        own = known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == block) if passes > 1 else known
         yield sorted((r.item_id, r.text) for r in own.distinct().toLocalIterator())
 
 

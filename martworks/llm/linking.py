@@ -25,10 +25,10 @@ BROADCAST_IDS = 4_000_000
 BLOCK = 1 << 20
 
 
-def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches, one after the other, with at most ``BLOCK`` bytes of ``text`` or one row; nothing is copied."""
+def blocks(batches: Iterable[pa.RecordBatch], text_col: str = "text") -> Iterator[pa.RecordBatch]:
+    """Slices of the batches, one after the other, with at most ``BLOCK`` bytes of text or one row; nothing is copied."""
     for batch in batches:
-        lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        lengths = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False)
         at = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
         lo = 0
         while lo < batch.num_rows:

@@ -1,5 +1,7 @@
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from oddities import frame, prose, texts
 
@@ -142,3 +144,19 @@ def test_each_row_is_judged_by_its_own_text(spark):
     for more in ([], [(None, "no id"), (None, ITEMS[0][1])]):
         kept = decontaminate.decontaminate(frame(spark, rows + more), bench).collect()
         assert sorted((r.text for r in kept)) == sorted(["clean", "other"] + ["no id"] * bool(more))
+
+
+def test_a_task_holds_the_characters_of_a_few_texts_at_once():
+    """Rows of 8 MB are searched with the memory of a part of them, and give what they give one by one."""
+    some, item = [prose(k, 600, 10_000) for k in range(100)], prose(999, 30, 10_000)
+    rows = [some[k % 100] for k in range(1500)] + [None, ""]
+    rows[700] = f"{rows[700]} {item} {rows[701]}"
+    batch = pa.record_batch([pa.array(range(len(rows)), pa.int64()), pa.array(rows, pa.string())], ["id", "body"])
+    assert batch.column("body").nbytes > 4 << 20
+    run = decontaminate._without([(1, item)], decontaminate.EDITS, "body")
+    tracemalloc.start()
+    kept = [r for part in run(iter([batch])) for r in part.column("id").to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1] >> 20
+    tracemalloc.stop()
+    assert kept == [k for k in range(len(rows)) if k != 700]
+    assert peak < 40, peak
