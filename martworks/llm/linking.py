@@ -111,11 +111,15 @@ def verified(scratch: Scratch, known: DataFrame, pairs: DataFrame, size: int, pe
     steps = scratch.within(f"{name}-steps")
     pairs = steps.keep("pairs", pairs)
     ids = steps.keep("ids", pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    copies = pairs.groupBy("a").agg(F.ceil(F.count("*") / PER_CENTRE).alias("copies"))
+    copies = steps.keep("copies", pairs.groupBy("a").agg(F.ceil(F.count("*") / PER_CENTRE).alias("copies")))
     centres = copies.select(F.col("a").alias("doc_id"), "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))
                             .alias("part"), F.lit(False).alias("member"))
-    members = pairs.join(copies, "a").select(
-        F.col("b").alias("doc_id"), "a", F.pmod(F.xxhash64("b"), F.col("copies")).alias("part"), F.lit(True).alias("member"))
+    # Few centres have several copies, one for PER_CENTRE pairs at most, so the pairs are not shuffled for them.
+    several = copies.where("copies > 1")
+    several = F.broadcast(several) if several.count() <= BROADCAST_IDS else several
+    members = pairs.join(several, "a", "left").select(
+        F.col("b").alias("doc_id"), "a", F.pmod(F.xxhash64("b"), F.coalesce("copies", F.lit(1))).alias("part"),
+        F.lit(True).alias("member"))
     rows = (texts_of(known, ids).join(centres.unionByName(members), "doc_id")
             .select("a", "part", "member", F.col("doc_id").alias("b"), "text")
             .repartition("a", "part").sortWithinPartitions("a", "part", "member"))

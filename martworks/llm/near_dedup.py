@@ -5,8 +5,8 @@ position, the second is applied to the positions shifted circularly by one step
 is the smallest value. Four coordinates make a band; documents with an equal band are candidates.
 
 1. Documents with the same set are one class from the start; only its smallest id goes on.
-2. In each bucket all members are compared with one centre, the member that meets most others over all its bands. A
-   bucket of m documents gives m - 1 pairs, not m * m. Each distinct pair is verified on the full sets.
+2. In each bucket all members are compared with one centre, the smallest id, which is that of many of its bands. A bucket
+   of m documents gives m - 1 pairs, not m * m. Each distinct pair is verified on the full sets.
 3. Buckets whose members are all connected by now are done. Members of the others go through an exact filter: a linked
    pair shares a shingle among the rarest of both, so pairs come from those shingles and not from the bucket, which may
    hold a hot passage (:func:`martworks.llm.ngram_join.connected`, by rounds of centres). No candidate is given up,
@@ -105,23 +105,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     classes = scratch.keep("classes", sketches.where("doc_id is not null and n > 0").groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")))
     keys = classes.select("rep", "n", F.explode("bands").alias("key"))
-    crowded = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    members = scratch.keep("members", keys.join(crowded, "key"))
-
-    meets = members.groupBy("rep").agg(F.sum("size").alias("meets"))
-    centres = scratch.keep("centres", members.join(meets, "rep").groupBy("key").agg(
-        F.max_by(F.struct("rep", "n"), F.struct("meets", -F.col("rep"))).alias("c"))
-        .select("key", F.col("c.rep").alias("centre"), F.col("c.n").alias("n_centre")))
-    stars = (members.join(centres, "key").where(F.col("rep") != F.col("centre"))
-             .where(close_in_size(F.col("n"), F.col("n_centre"), percent))
-             .select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct())
+    crowded = keys.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("rep", "n")).alias("centre"))
+    members = scratch.keep("members", keys.join(crowded.where("size > 1"), "key"))
+    stars = (members.where(F.col("rep") != F.col("centre.rep")).where(close_in_size(F.col("n"), F.col("centre.n"), percent))
+             .select(F.col("centre.rep").alias("a"), F.col("rep").alias("b")).distinct())
     links = verified(scratch, known, stars, size, percent, "stars")
     first = components(scratch, links, "first")
     open_ids = _unsettled(scratch, members, first)
     rest = texts_of(known, open_ids)
     _, sets = ngram_join.sketches(scratch, rest, size, percent, "rest", WIDE)
     labels = ngram_join.connected(scratch, sets, rest, size, percent, "round", first)
-    scratch.drop(members, centres, links, sets)
+    scratch.drop(members, links, sets)
     found = classes.select("digest", "rep").join(labels, F.col("rep") == F.col("node"), "left").select(
         "digest", F.coalesce("label", "rep").alias("label"))
     out = sketches.select("doc_id", "n", "digest").join(found, "digest", "left")

@@ -41,8 +41,8 @@ from martworks.llm.words import Texts, mix
 CELL_BITS = 18
 # Classes of document frequency for each doubling, by order.
 ORDERS = (4.0, 1.0, 0.25)
-# Pairs for each member of a bucket that are confirmed without another round of centres.
-EASY, MORE_CENTRES = 128, 16
+# Pairs for each member of a bucket that are looked at without another round of centres.
+EASY, MORE_CENTRES = 2048, 16
 # 64-bit words of flipped bits of each set.
 WORDS = 8
 # Sets of more shingles have further flipped bits: the number of 64-bit words by the least size.
@@ -93,7 +93,7 @@ def classes_of_cells(scratch: Scratch, rows: DataFrame, size: int, name: str) ->
 
 
 def prefixes(shingles: np.ndarray, at: np.ndarray, percent: int, classes: np.ndarray) -> list[list[np.ndarray]]:
-    """For each order, the prefix of each set: the shingles of which two sets that are linked share one."""
+    """For each order, the prefix of each set: the shingles of which two sets that are linked share one, in that order."""
     cell = (shingles >> _TOP).astype(np.int64)
     out = []
     for k, own in enumerate(classes):
@@ -103,7 +103,8 @@ def prefixes(shingles: np.ndarray, at: np.ndarray, percent: int, classes: np.nda
         for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
             n = b - a
             p = n - (percent * n + 99) // 100 + 1
-            sets.append(shingles[a:b] if p >= n else shingles[a:b][np.argpartition(rank[a:b], p - 1)[:p]])
+            first = np.argpartition(rank[a:b], p - 1)[:p] if 0 < p < n else np.arange(n)
+            sets.append(shingles[a:b][first[np.argsort(rank[a:b][first])]])
         out.append(sets)
     return out
 
@@ -168,11 +169,26 @@ def sketches(scratch: Scratch, rows: DataFrame, size: int, percent: int, name: s
 
 
 def _buckets(sets: DataFrame) -> DataFrame:
-    """``key, rep, n, size``: sets by the shingles of their first prefix, where more than one set has it."""
-    keys = sets.select(F.explode("order0").alias("key"), "rep", "n")
+    """``key, rep, n, room, size``: sets by the shingles of their first prefix, where more than one set has it.
+
+    ``room`` is the number of the set's shingles from ``key`` on. A linked pair is looked for where its first common shingle
+    is the key, so all that it has in common has room.
+    """
+    keys = sets.select(F.posexplode("order0").alias("at", "key"), "rep", "n").select(
+        "key", "rep", "n", (F.col("n") - F.col("at")).alias("room"))
     return keys.join(keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "key")
 
 
+def _has_room(room: str, n: str, other: str, percent: int) -> Column:
+    """Lossless: linked sets have at least percent / (100 + percent) of both sizes in common."""
+    return F.col(room) * (100 + percent) >= percent * (F.col(n) + F.col(other))
+
+
+def _may_meet(x: str, y: str, percent: int) -> Column:
+    """Whether the key of a bucket may be the first common shingle of two members that are linked."""
+    return _has_room(f"{x}.room", f"{x}.n", f"{y}.n", percent) & _has_room(f"{y}.room", f"{y}.n", f"{x}.n", percent)
+
+
 def _may_link(x: str, y: str, percent: int) -> Column:
     """Lossless: sets of a similarity in per cent differ in at most (100 - percent) / (100 + percent) of both sizes."""
     n = F.col(f"{x}.n") + F.col(f"{y}.n")
@@ -236,16 +252,15 @@ def connected(scratch: Scratch, sets: DataFrame, known: DataFrame, size: int, pe
     while True:
         before, step = step, scratch.within(f"{name}-{turn}")
         if labels is None:  # nothing is connected yet
-            rows = members.select("key", "rep", "n", F.col("rep").alias("comp"), "size", F.lit(False).alias("easy"))
+            rows = members.select("key", "rep", "n", "room", F.col("rep").alias("comp"), "size", F.lit(False).alias("easy"))
         else:
-            rows = step.keep("unsettled", _unsettled(members, labels, turn))
+            rows = _unsettled(members, labels, turn, percent)
+            # What is left meets many others, so its bits go with it; first only one centre is met.
+            rows = step.keep("unsettled", rows.join(bits, "rep") if turn else rows)
         easy_rows, hard_rows = rows.agg(F.count_if("easy"), F.count_if(~F.col("easy"))).first()
         if easy_rows + hard_rows == 0:
             break
-        if turn:  # what is left meets many others, so its bits go with it; first only one centre is met
-            rows = step.keep("with-bits", rows.join(texts_of(bits.withColumnRenamed("rep", "doc_id"), rows.select(
-                F.col("rep").alias("doc_id")).distinct()).withColumnRenamed("doc_id", "rep"), "rep"))
-        may = (lambda x, y: _may_link(x, y, percent)) if turn else (
+        may = (lambda x, y: _may_meet(x, y, percent) & _may_link(x, y, percent)) if turn else (
             lambda x, y: close_in_size(F.col(f"{x}.n"), F.col(f"{y}.n"), percent))
         hard, pairs = rows.where("not easy"), None
         if hard_rows:
@@ -253,7 +268,7 @@ def connected(scratch: Scratch, sets: DataFrame, known: DataFrame, size: int, pe
             pairs = hard.alias("x").join(chosen.alias("y"), [
                 F.col("x.key") == F.col("y.key"), F.col("x.comp") != F.col("y.comp"), F.col("x.rep") != F.col("y.rep"),
                 may("x", "y")]).select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"))
-            members = step.keep("members", hard.join(chosen, ["key", "rep"], "left_anti").select("key", "rep", "n"))
+            members = step.keep("members", hard.join(chosen, ["key", "rep"], "left_anti").select("key", "rep", "n", "room"))
         if easy_rows:
             few = _bucket_pairs(rows.where("easy"), F.col("x.comp") != F.col("y.comp"), may("x", "y"))
             pairs = few if pairs is None else pairs.unionByName(few)
@@ -269,15 +284,20 @@ def connected(scratch: Scratch, sets: DataFrame, known: DataFrame, size: int, pe
     return labels
 
 
-def _unsettled(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """Members of buckets that are not all connected, with their component, the bucket's size and whether it is easy."""
+def _unsettled(members: DataFrame, labels: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Members of buckets that are not all connected, with their component, the bucket's size and whether it is easy.
+
+    Members of easy buckets without room for the smallest set there meet nobody and are left out.
+    """
     placed = members.join(labels, F.col("rep") == F.col("node"), "left").select(
-        "key", "rep", "n", F.coalesce("label", "rep").alias("comp"))
-    parts = placed.groupBy("key", "comp").agg(F.count("*").cast("double").alias("part"))
-    sizes = parts.groupBy("key").agg(F.sum("part").alias("size"), F.sum(F.col("part") * F.col("part")).alias("squares"))
+        "key", "rep", "n", "room", F.coalesce("label", "rep").alias("comp"))
+    parts = placed.groupBy("key", "comp").agg(F.count("*").cast("double").alias("part"), F.min("n").alias("low"))
+    sizes = parts.groupBy("key").agg(F.sum("part").alias("size"), F.sum(F.col("part") * F.col("part")).alias("squares"),
+                                     F.min("low").alias("least"))
     cross = (F.col("size") * F.col("size") - F.col("squares")) / 2
-    open_ = sizes.where(cross > 0).select("key", "size", (F.lit(turn > 0) & (cross <= EASY * F.col("size"))).alias("easy"))
-    return placed.join(open_, "key").select("key", "rep", "n", "comp", "size", "easy")
+    open_ = sizes.where(cross > 0).select(
+        "key", "size", "least", (F.lit(turn > 0) & (cross <= EASY * F.col("size"))).alias("easy"))
+    return placed.join(open_, "key").where(~F.col("easy") | _has_room("room", "n", "least", percent)).select("key", "rep", "n", "room", "comp", "size", "easy")
 
 
 def _no_labels(scratch: Scratch) -> DataFrame:
@@ -328,8 +348,8 @@ def similar_pairs(docs: DataFrame, size: int = 3, percent: int = 90, id_col: str
     rows = only(docs, doc_id=id_col, text=text_col)
     own, sets = sketches(scratch, rows, size, percent, "all")
     members = scratch.keep("members", _buckets(sets))
-    members = members.select("key", "rep", "n").join(sets.select("rep", *_BITS).dropDuplicates(["rep"]), "rep")
-    pairs = _filtered(scratch, _bucket_pairs(members, _may_link("x", "y", percent)), sets, percent)
+    members = members.select("key", "rep", "n", "room").join(sets.select("rep", *_BITS).dropDuplicates(["rep"]), "rep")
+    pairs = _filtered(scratch, _bucket_pairs(members, _may_meet("x", "y", percent) & _may_link("x", "y", percent)), sets, percent)
     links = verified(scratch, rows.where("doc_id is not null"), pairs, size, percent, "every")
     membership = own.where("doc_id is not null").join(sets.select("digest", F.col("rep").alias("class_id")), "digest").select(
         "doc_id", "class_id").distinct()

@@ -225,3 +225,37 @@ def test_labelled_sets_need_no_round_with_one_centre(spark, monkeypatch):
         with pytest.raises(Reached) as reached:
             ngram_join.connected(scratch, sets, docs, 2, 80, "round", labels)
         assert reached.value.args == first
+
+
+def test_members_meet_at_their_first_common_shingle_only(spark, monkeypatch):
+    """Sets of a similarity of 0.76 share ten prefix shingles, but none that has room for what linked sets have in common."""
+    filtered, given = ngram_join._filtered, []
+
+    def counted(scratch, pairs, *rest):
+        given.append(pairs.count())
+        return filtered(scratch, pairs, *rest)
+
+    monkeypatch.setattr(ngram_join, "_filtered", counted)
+    common = [f"c{j}" for j in range(131)]
+    rows = [(k, " ".join(common + [f"d{k}x{j}" for j in range(20)])) for k in range(60)]
+    rows += [(100 + k, " ".join(common + [f"e{j}" for j in range(20)] + [f"f{k}"])) for k in range(2)]  # these two are linked
+    scratch, docs = Scratch(spark, "meet"), spark.createDataFrame(rows, "doc_id long, text string")
+    _, sets = ngram_join.sketches(scratch, docs, 2, 80, "rest", near_dedup.WIDE)
+    labels = ngram_join.connected(scratch, sets, docs, 2, 80, "round", ngram_join._no_labels(scratch))
+    assert sorted((r.node, r.label) for r in labels.collect()) == [(100, 100), (101, 100)]
+    assert sum(given) < 60, given
+
+
+def test_linked_sets_have_room_at_their_first_common_shingle():
+    rng, classes = np.random.default_rng(1), np.random.default_rng(2).integers(0, 5, (3, 1 << ngram_join.CELL_BITS)).astype(np.uint8)
+    for n in (1, 2, 4, 5, 9, 60, 400):
+        x = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        for cut in range(n // 5 + 1):
+            y = np.unique(np.concatenate([x[cut:], rng.integers(0, 2**63, cut // 3).astype(np.uint64)]))
+            if linking.similar(x, y, 80):
+                own = ngram_join.prefixes(np.concatenate([x, y]), np.array([0, len(x), len(x) + len(y)]), 80, classes)[0]
+                a, b = (s.tolist() for s in own)
+                first = next(k for k in a if k in b)
+                assert first == next(k for k in b if k in a)
+                room = min(len(x) - a.index(first), len(y) - b.index(first))
+                assert 180 * room >= 80 * (len(x) + len(y))
