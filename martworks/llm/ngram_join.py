@@ -10,7 +10,9 @@ shuffle each class in their own way.
 2. Documents with the same set are one class; only its smallest id goes on.
 3. Buckets are the shingles of the first order's prefixes. A pair of a bucket whose sets surely differ in too many
    shingles is none: each set has 512 bits (long sets 4,096 or 65,536 more), of which every shingle flips one, and
-   two sets differ in at least as many shingles as bits. The other pairs are filtered by the further orders and confirmed on the full sets.
+   two sets differ in at least as many shingles as bits. After the first round, members meet only where the shingle may be
+   the first that they have in common: from it on, both sets have room for what linked sets share. The other pairs are
+   filtered by the further orders and confirmed on the full sets.
    :func:`similar_pairs` does so with every pair and returns every link.
 4. :func:`ngram_join` asks for components only and goes by rounds: in the first each bucket has one centre that all others
    are compared with. Then buckets whose members are connected are done. A bucket with few unconnected pairs (at most
